@@ -2,92 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from feederlens.functions.numbers import usable
-from feederlens.functions.times import crossing_ms, from_ms, minutes_between, to_ms
-from feederlens.operators.runs import LEVELS, duration
-from feederlens.schema import DURATIONS, EPISODE_COLUMNS, MARK_COLUMNS, STARTS, STATUS_COLUMNS
-from feederlens.settings import HEAVY, LATE, NO_OVERLOAD, OVERLOAD, UNUSABLE, MINUTE, Limits
+from feederlens.functions.times import from_ms, to_ms
+from feederlens.operators.runs import LEVELS, crossing
+from feederlens.schema import EPISODE_COLUMNS, MARK_COLUMNS, STATUS_COLUMNS
+from feederlens.settings import HEAVY, LATE, MINUTE, NO_OVERLOAD, OVERLOAD, UNUSABLE, Limits
 
 _COPIES_PER_TASK = 100_000  # how many late copies one row is unfolded into at a time
+_NONE = "CAST(NULL AS BIGINT)"
+_ZERO = "0L"
+
+
+def _time(ms: str) -> str:
+    return f"timestampadd(MILLISECOND, {ms}, TIMESTAMP_NTZ '1970-01-01 00:00:00')"
 
 
 def _status_columns(
-    ms: Column, starts: list[Column], durations: list[Column],
-    status: Column, klass: Column, rate: Column,
-) -> list[Column]:
-    return [
-        F.col("mp_id"),
-        from_ms(ms).alias("time"),
-        *[from_ms(s).alias(name) for s, name in zip(starts, STARTS)],
-        *[d.alias(name) for d, name in zip(durations, DURATIONS)],
-        status.cast("int").alias("status"),
-        klass.cast("int").alias("overloadstatus"),
-        rate.alias("loadrate"),
+    ms: str, starts: list[str], minutes: list[str], status: str, klass: str, rate: str
+) -> list[str]:
+    values = [
+        "mp_id", _time(ms), *[_time(s) for s in starts], *minutes,
+        f"CAST({status} AS INT)", f"CAST({klass} AS INT)", rate,
     ]
+    return [f"{v} AS {name}" for v, name in zip(values, STATUS_COLUMNS)]
+
+
+def _duration(start: str, end: str = "ms") -> str:
+    return f"coalesce(({end} - {start}) DIV {MINUTE}, {_ZERO})"
 
 
 def online_rows(tracked: DataFrame) -> DataFrame:
     """Status of each reading as known at its own time."""
-    c = F.col
-    starts = [c(f"s{i}") for i in LEVELS]
-    return tracked.select(
-        *_status_columns(
-            c("ms"), starts, [duration(s, c("ms")) for s in starts], c("status"), c("klass"),
-            c("lr"),
-        )
+    starts = [f"s{i}" for i in LEVELS]
+    return tracked.selectExpr(
+        *_status_columns("ms", starts, [_duration(s) for s in starts], "status", "klass", "lr")
     )
 
 
-def _heavy_end(limits: Limits) -> Column:
-    """Where a heavy run that ends at this reading met its level.
+_HEAVY_ENDS = f"(pstatus = {HEAVY} AND status NOT IN ({HEAVY}, {OVERLOAD}))"
 
-    A reading that is still above the level has no crossing behind it; then, as after a gap or
-    without a usable load rate, the run ends with the previous reading. The gap is judged in
-    whole seconds here, so it may be up to 999 ms longer than elsewhere.
-    """
-    c = F.col
-    near = c("ms") - c("pt") < limits.gap_ms + 1000
-    end = crossing_ms(c("pt"), c("plr"), c("ms"), c("lr"), limits.levels[0])
-    inside = near & usable(c("lr")) & (end >= c("pt")) & (end <= c("ms"))
-    return F.when(inside, end).otherwise(c("pt"))
 
+def _with_heavy_end(tracked: DataFrame, limits: Limits) -> DataFrame:
+    """Adds where a heavy run that ends at this reading met its level.
 
-def _heavy_ends() -> Column:
-    return (F.col("pstatus") == HEAVY) & ~F.col("status").isin(HEAVY, OVERLOAD)
+    A reading that is still above the level has no crossing behind it; then, as after a gap or
+    without a usable load rate, the run ends with the previous reading.
+    """
+    met = crossing(limits.levels[0])
+    return tracked.withColumn(
+        "heavy_end", F.expr(f"CASE WHEN {met} BETWEEN pt AND ms THEN {met} ELSE pt END")
+    )
 
 
 def episodes(tracked: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Closed heavy-load and overload episodes; a reading closes at most one."""
-    c = F.col
     over = limits.levels[1]
-    handed_over = (c("pstatus") == HEAVY) & (c("status") == OVERLOAD)
-    overload_ends = (c("pstatus") == OVERLOAD) & (c("status") != OVERLOAD)
-    fell = (c("ms") - c("pt") <= limits.gap_ms) & (c("plr") > over) & (c("lr") <= over)
-    overload_end = F.when(
-        fell, crossing_ms(c("pt"), c("plr"), c("ms"), c("lr"), over)
-    ).otherwise(c("pt"))
-    end = (
-        F.when(handed_over, c("s1")).when(overload_ends, overload_end)
-        .when(_heavy_ends(), _heavy_end(limits))
-    )
-    start = F.when(c("pstatus") == OVERLOAD, c("ps1")).otherwise(c("ps0"))
-    closed = tracked.where(
-        c("pstatus").isin(HEAVY, OVERLOAD) & (c("status") != c("pstatus"))
-    ).select("mp_id", "pstatus", "pklass", start.alias("ts_ms"), end.alias("te_ms"))
-    return (
-        closed.where(c("ts_ms").isNotNull())
-        .select(
-            "mp_id",
-            c("pstatus").cast("int").alias("status"),
-            c("pklass").cast("int").alias("overloadstatus"),
-            from_ms(c("ts_ms")).alias("ts"),
-            from_ms(c("te_ms")).alias("te"),
-            minutes_between(c("ts_ms"), c("te_ms")).alias("td"),
-        )
-        .select(*EPISODE_COLUMNS)
+    fell = f"near AND plr > {over}D AND lr <= {over}D"
+    closed = _with_heavy_end(
+        tracked.where(f"pstatus IN ({HEAVY}, {OVERLOAD}) AND status <> pstatus"), limits
+    ).selectExpr(
+        "mp_id", "pstatus", "pklass",
+        f"CASE WHEN pstatus = {OVERLOAD} THEN ps1 ELSE ps0 END AS ts_ms",
+        f"CASE WHEN pstatus = {OVERLOAD} THEN "
+        f"CASE WHEN {fell} THEN {crossing(over)} ELSE pt END "
+        f"WHEN status = {OVERLOAD} THEN s1 ELSE heavy_end END AS te_ms",
     )
+    return closed.where("ts_ms IS NOT NULL").selectExpr(
+        "mp_id", "CAST(pstatus AS INT) AS status", "CAST(pklass AS INT) AS overloadstatus",
+        f"{_time('ts_ms')} AS ts", f"{_time('te_ms')} AS te",
+        f"(te_ms - ts_ms) DIV {MINUTE} AS td",
+    ).select(*EPISODE_COLUMNS)
 
 
 def final_rows(tracked: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -97,70 +82,50 @@ def final_rows(tracked: DataFrame, limits: Limits = Limits()) -> DataFrame:
     heavy load. Where a confirmed run began, or a heavy one ended, between two readings, a row is
     added at that instant. A reading brings at most one such row.
     """
-    c = F.col
     heavy, over = limits.levels[0], limits.levels[1]
-    none = F.lit(None).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    starts = [c(f"s{i}") for i in LEVELS]
-
-    to_over = (c("status") != OVERLOAD) & c("s1").eqNullSafe(c("over_start")) & c("s1").isNotNull()
-    to_heavy = ~c("status").isin(HEAVY, OVERLOAD) & c("s0").eqNullSafe(c("heavy_start")) & c(
-        "s0"
-    ).isNotNull()
-    reading = F.struct(
-        *_status_columns(
-            c("ms"), starts, [duration(s, c("ms")) for s in starts],
-            F.when(to_over, F.lit(OVERLOAD)).when(to_heavy, F.lit(HEAVY)).otherwise(c("status")),
-            F.when(to_over, c("over_class")).otherwise(c("klass")),
-            c("lr"),
-        )
+    starts = [f"s{i}" for i in LEVELS]
+    reading = _status_columns(
+        "ms", starts, [_duration(s) for s in starts],
+        f"CASE WHEN to_over THEN {OVERLOAD} WHEN to_heavy THEN {HEAVY} ELSE status END",
+        "CASE WHEN to_over THEN over_class ELSE klass END", "lr",
     )
-
-    def added(at: Column, level: int | None, minutes: Column, status: int, klass: Column) -> Column:
-        rate = limits.levels[level or 0]
-        return F.struct(
-            *_status_columns(
-                at,
-                [at if i == level else none for i in LEVELS],
-                [minutes if i == 0 else zero for i in LEVELS],
-                F.lit(status), klass, F.lit(rate),
-            )
-        )
-
-    def off_grid(start: Column) -> Column:
-        return (c("ms") - start) % (limits.grid_minutes * MINUTE) != 0
-
-    heavy_minutes = F.when(c("pstatus") == HEAVY, minutes_between(c("ps0"), c("s1"))).otherwise(zero)
-    ended = _heavy_ends() & (_heavy_end(limits) != c("ms")) & (_heavy_end(limits) != c("pt"))
-    extra = (
-        F.when(
-            c("over_found") & off_grid(c("s1")),
-            added(c("s1"), 1, heavy_minutes, OVERLOAD, c("klass")),
-        )
-        .when(
-            c("heavy_found") & off_grid(c("s0")),
-            added(c("s0"), 0, zero, HEAVY, F.lit(NO_OVERLOAD)),
-        )
-        .when(ended, added(_heavy_end(limits), None, zero, HEAVY, F.lit(NO_OVERLOAD)))
+    # The added row has at most one start: that of the confirmed run.
+    added = _status_columns(
+        "extra_ms",
+        [f"CASE WHEN extra = 'heavy' THEN extra_ms ELSE {_NONE} END",
+         f"CASE WHEN extra = 'over' THEN extra_ms ELSE {_NONE} END", *[_NONE] * 5],
+        [f"CASE WHEN extra = 'over' AND pstatus = {HEAVY} THEN {_duration('ps0', 's1')} "
+         f"ELSE {_ZERO} END", *[_ZERO] * 6],
+        f"CASE WHEN extra = 'over' THEN {OVERLOAD} ELSE {HEAVY} END",
+        f"CASE WHEN extra = 'over' THEN klass ELSE {NO_OVERLOAD} END",
+        f"CASE WHEN extra = 'over' THEN {over}D ELSE {heavy}D END",
+    )
+    grid = limits.grid_minutes * MINUTE
+    marked = _with_heavy_end(tracked, limits).selectExpr(
+        "*",
+        f"status <> {OVERLOAD} AND coalesce(s1 = over_start, false) AS to_over",
+        f"status NOT IN ({HEAVY}, {OVERLOAD}) AND coalesce(s0 = heavy_start, false) AS to_heavy",
+        f"CASE WHEN over_found AND (ms - s1) % {grid} <> 0 THEN 'over' "
+        f"WHEN heavy_found AND (ms - s0) % {grid} <> 0 THEN 'heavy' "
+        f"WHEN {_HEAVY_ENDS} AND heavy_end NOT IN (ms, pt) THEN 'end' END AS extra",
+    ).selectExpr(
+        "*", "CASE extra WHEN 'over' THEN s1 WHEN 'heavy' THEN s0 WHEN 'end' THEN heavy_end END "
+        "AS extra_ms",
+    )
+    both = (
+        f"inline(CASE WHEN extra IS NULL THEN array(struct({', '.join(reading)})) "
+        f"ELSE array(struct({', '.join(reading)}), struct({', '.join(added)})) END)"
     )
-    both = F.when(extra.isNull(), F.array(reading)).otherwise(F.array(reading, extra))
-    return tracked.select(F.inline(both)).select(*STATUS_COLUMNS)
+    return marked.selectExpr(both).select(*STATUS_COLUMNS)
 
 
 def marks(tracked: DataFrame) -> DataFrame:
     """One row per confirmed run: what status earlier rows of the same run have to get."""
-    c = F.col
-    return (
-        tracked.where(c("over_found") | c("heavy_found"))
-        .select(
-            "mp_id",
-            c("status").cast("int").alias("status"),
-            c("klass").cast("int").alias("overloadstatus"),
-            from_ms(F.when(c("over_found"), c("s1")).otherwise(c("s0"))).alias("start"),
-            from_ms(c("ms")).alias("confirmed"),
-        )
-        .select(*MARK_COLUMNS)
-    )
+    return tracked.where("over_found OR heavy_found").selectExpr(
+        "mp_id", "CAST(status AS INT) AS status", "CAST(klass AS INT) AS overloadstatus",
+        f"{_time('CASE WHEN over_found THEN s1 ELSE s0 END')} AS start",
+        f"{_time('ms')} AS confirmed",
+    ).select(*MARK_COLUMNS)
 
 
 def apply_marks(rows: DataFrame, marked: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -207,12 +172,9 @@ def apply_marks(rows: DataFrame, marked: DataFrame, limits: Limits = Limits()) -
 
 def late_rows(late: DataFrame) -> DataFrame:
     """Status rows of late readings: nothing but the key, the time and the late status."""
-    c = F.col
-    none = F.lit(None).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    return late.withColumn("ms", to_ms(c("time"))).select(
+    return late.withColumn("ms", to_ms(F.col("time"))).selectExpr(
         *_status_columns(
-            c("ms"), [none] * 7, [zero] * 7, F.lit(LATE), F.lit(NO_OVERLOAD), F.lit(UNUSABLE)
+            "ms", [_NONE] * 7, [_ZERO] * 7, str(LATE), str(NO_OVERLOAD), f"{UNUSABLE}D"
         )
     )
 

@@ -20,12 +20,9 @@ a pending run is always confirmed within that span, so looking ahead needs no ot
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
-
-from feederlens.functions.numbers import usable
-from feederlens.functions.times import crossing_ms, minutes_between, to_ms
+from feederlens.functions.times import to_ms
 from feederlens.settings import (
     HEAVY, LONG, MINUTE, NO_OVERLOAD, NORMAL, NOT_COMPUTABLE, OVERLOAD, SHORT, SHORT_AFTER_LONG,
     UNUSABLE, Limits,
@@ -34,108 +31,99 @@ from feederlens.settings import (
 OPEN_END = (1 << 63) - 1  # "the following reading is not known yet"
 LEVELS = range(7)
 
+# The rules below are SQL text rather than nested Column calls: there are several hundred of them
+# per plan and each Column call is a round trip to the JVM.
 
-def _slice() -> WindowSpec:
-    return Window.partitionBy("mp_id", "slice").orderBy("ms")
-
-
-def _so_far() -> WindowSpec:
-    return _slice().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def _backwards() -> WindowSpec:
-    # Descending, because a frame that ends at the partition's end is quadratic in Spark.
-    return (
-        Window.partitionBy("mp_id", "slice")
-        .orderBy(F.desc("ms"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-
-def _point() -> WindowSpec:
-    """Summaries of a point in time order; a stored state has no slice and comes first."""
-    return Window.partitionBy("mp_id").orderBy(F.asc_nulls_first("slice"))
-
-
-def _up_to_slice() -> WindowSpec:
-    return _point().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def _before_slice() -> WindowSpec:
-    return _point().rowsBetween(Window.unboundedPreceding, -1)
+_SLICE = "PARTITION BY mp_id, slice ORDER BY ms"
+_SO_FAR = f"{_SLICE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+# Descending, because a frame that reaches to the partition's end is quadratic in Spark.
+_BACKWARDS = (
+    "PARTITION BY mp_id, slice ORDER BY ms DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+)
+# Summaries of a point in time order; a stored state has no slice and comes first.
+_POINT = "PARTITION BY mp_id ORDER BY slice NULLS FIRST"
+_UP_TO_SLICE = f"{_POINT} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_BEFORE_SLICE = f"{_POINT} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 # --- rules for one reading (ms, lr) and the one before it (pt, plr) -------------------------------
+#
+# ``pair_columns`` adds what they share: lv/plv are the load rates with -Infinity for unusable
+# ones, so that "above a level" is one comparison; ``near`` says there is no gap between the two;
+# ``hop`` is milliseconds per unit of load rate on the straight line between them.
+
 
+def pair_columns(limits: Limits) -> list[str]:
+    def level_value(rate: str) -> str:
+        return f"CASE WHEN {rate} = {UNUSABLE}D THEN DOUBLE('-Infinity') ELSE {rate} END"
 
-def _above(rate: Column, level: float) -> Column:
-    return F.coalesce((rate > level) & usable(rate), F.lit(False))
+    # A heavy run may end over a gap that is less than a second too long, hence the wider limit.
+    return [
+        f"{level_value('lr')} AS lv",
+        f"{level_value('plr')} AS plv",
+        f"coalesce(ms - pt <= {limits.gap_ms}, false) AS near",
+        f"CASE WHEN ms - pt < {limits.gap_ms + 1000} AND lr <> {UNUSABLE}D AND plr <> {UNUSABLE}D "
+        "AND lr <> plr THEN 1.0D * (ms - pt) / (lr - plr) END AS hop",
+    ]
 
 
-def _near(before: Column, now: Column, limits: Limits) -> Column:
-    return F.coalesce(now - before <= limits.gap_ms, F.lit(False))
+def crossing(level: float) -> str:
+    """Instant at which the line between the readings meets a level, cut to milliseconds. The
+    operand order is part of the contract: another one can move a result by a millisecond."""
+    return f"TRY_CAST(hop * ({level}D - plr) AS BIGINT) + pt"
 
 
-def _run_start(
-    pt: Column, plr: Column, ms: Column, lr: Column, level: float, limits: Limits
-) -> Column:
+def _run_start(level: float) -> str:
     """Start of the run that begins at this reading; NULL when none begins."""
-    near = _near(pt, ms, limits)
-    begins = _above(lr, level) & ~(near & _above(plr, level))
-    start = F.when(near & (plr <= level), crossing_ms(pt, plr, ms, lr, level)).otherwise(ms)
-    return F.when(begins, start)
+    start = f"CASE WHEN near THEN coalesce({crossing(level)}, ms) ELSE ms END"
+    return f"CASE WHEN lv > {level}D AND NOT (near AND plv > {level}D) THEN {start} END"
 
 
-def _lasted(start: Column, ms: Column, minutes: int) -> Column:
-    return F.coalesce(ms - start >= minutes * MINUTE, F.lit(False))
+def _leaves_overload(limits: Limits) -> str:
+    """Whether the load rate fell from overload to heavy load between the two readings."""
+    heavy, over = limits.levels[0], limits.levels[1]
+    return f"(near AND plv > {over}D AND lv > {heavy}D AND lv <= {over}D)"
 
 
-def _fell_into_heavy(
-    pt: Column, plr: Column, ms: Column, lr: Column, overload_start: Column, limits: Limits
-) -> tuple[Column, Column]:
-    """Whether a confirmed overload ended just before this reading and left heavy load behind,
-    and the instant at which it did."""
-    heavy, over = limits.levels[0], limits.levels[1]
-    confirmed = _above(plr, over) & _lasted(overload_start, pt, limits.confirm_minutes)
-    left = _near(pt, ms, limits) & _above(lr, heavy) & ~_above(lr, over)
-    return left & confirmed, crossing_ms(pt, plr, ms, lr, over)
+def _was_confirmed(start: str, limits: Limits) -> str:
+    return f"coalesce(pt - {start} >= {limits.confirm_ms}, false)"
 
 
-def _is_long(ms: Column, lr: Column, starts: list[Column], limits: Limits) -> Column:
-    return reduce(
-        lambda a, b: a | b,
-        [
-            _above(lr, limits.levels[i]) & _lasted(starts[i], ms, limits.long_minutes[i - 2])
-            for i in LEVELS[2:]
-        ],
-    )
+def _long_at(value: str, ms: str, starts: dict[int, str], limits: Limits) -> str:
+    terms = [
+        f"({value} > {limits.levels[i]}D AND {ms} - {starts[i]} >= {limits.long_minutes[i - 2] * MINUTE})"
+        for i in LEVELS[2:]
+    ]
+    return "coalesce(" + " OR ".join(terms) + ", false)"
 
 
-def _overload_class(
-    pt: Column, plr: Column, ms: Column, lr: Column,
-    starts: list[Column], last_long: Column, limits: Limits,
-) -> Column:
+def _overload_class(starts: dict[int, str], last_long: str, limits: Limits) -> str:
     """Class of an overload reading: long, short, or short right after long.
 
     Between two near readings no start above a level changes unless the run at it began anew, so
     the class of the previous reading follows from the starts known here.
     """
     if limits.sticky_long:
-        was_long = F.coalesce(last_long >= starts[1], F.lit(False))
+        was_long = f"{last_long} >= {starts[1]}"
     else:
         was_long = (
-            _near(pt, ms, limits)
-            & _above(plr, limits.levels[1])
-            & _lasted(starts[1], pt, limits.confirm_minutes)
-            & _is_long(pt, plr, starts, limits)
+            f"near AND plv > {limits.levels[1]}D AND {_was_confirmed(starts[1], limits)} "
+            f"AND {_long_at('plv', 'pt', starts, limits)}"
         )
     return (
-        F.when(_is_long(ms, lr, starts, limits), F.lit(LONG))
-        .when(was_long, F.lit(SHORT_AFTER_LONG))
-        .otherwise(F.lit(SHORT))
+        f"CASE WHEN {_long_at('lv', 'ms', starts, limits)} THEN {LONG} "
+        f"WHEN {was_long} THEN {SHORT_AFTER_LONG} ELSE {SHORT} END"
     )
 
 
+def _neighbours() -> list[str]:
+    return [
+        f"lag(ms) OVER ({_SLICE}) AS pt",
+        f"lag(lr) OVER ({_SLICE}) AS plr",
+        f"coalesce(lead(ms) OVER ({_SLICE}), {OPEN_END}) AS nt",
+    ]
+
+
 # --- step 1: readings in slices -------------------------------------------------------------------
 
 
@@ -151,204 +139,176 @@ def points(readings: DataFrame) -> DataFrame:
             "mp_id", to_ms(F.col("time")).alias("ms"),
             F.coalesce(F.col("loadrate"), F.lit(UNUSABLE)).alias("lr"),
         )
-        .where(F.col("mp_id").isNotNull() & F.col("ms").isNotNull())
+        .where("mp_id IS NOT NULL AND ms IS NOT NULL")
         .groupBy("mp_id", "ms")
         .agg(F.min("lr").alias("lr"))
     )
 
 
 def _in_slices(series: DataFrame, limits: Limits) -> DataFrame:
-    offset = F.pmod(F.col("ms"), F.lit(limits.slice_ms))
-    start = F.col("ms") - offset
-    slices = F.when(
-        offset < limits.lookahead_ms, F.array(start, start - limits.slice_ms)
-    ).otherwise(F.array(start))
-    return series.select("mp_id", F.explode(slices).alias("slice"), "ms", "lr").repartition(
-        "mp_id", "slice"
-    )
+    width = limits.slice_ms
+    start = f"ms - pmod(ms, {width})"
+    return series.selectExpr(
+        "mp_id",
+        f"explode(CASE WHEN pmod(ms, {width}) < {limits.lookahead_ms} "
+        f"THEN array({start}, {start} - {width}) ELSE array({start}) END) AS slice",
+        "ms", "lr",
+    ).repartition("mp_id", "slice")
 
 
-def _own(limits: Limits) -> Column:
-    return F.col("ms") < F.col("slice") + limits.slice_ms
+def _own(limits: Limits) -> str:
+    return f"ms < slice + {limits.slice_ms}"
 
 
 # --- steps 2 and 3: summaries and seeds -----------------------------------------------------------
 
 
 def _summaries(sliced: DataFrame, limits: Limits) -> DataFrame:
-    pt, plr, ms, lr, nt = (F.col(c) for c in ["pt", "plr", "ms", "lr", "nt"])
-    rows = sliced.select(
-        "*",
-        F.lag("ms").over(_slice()).alias("pt"),
-        F.lag("lr").over(_slice()).alias("plr"),
-        F.coalesce(F.lead("ms").over(_slice()), F.lit(OPEN_END)).alias("nt"),
-    )
+    tracked = LEVELS[1:] if limits.sticky_long else LEVELS[1:2]
     # The first reading of a slice has its predecessor elsewhere; step 3 deals with it.
-    rows = rows.select(
-        "*",
-        *[
-            F.when(pt.isNotNull(), _run_start(pt, plr, ms, lr, limits.levels[i], limits)).alias(
-                f"f{i}"
-            )
-            for i in LEVELS
-        ],
+    rows = (
+        sliced.selectExpr("*", *_neighbours())
+        .selectExpr("*", *pair_columns(limits))
+        .selectExpr(
+            "*",
+            *[f"CASE WHEN pt IS NOT NULL THEN {_run_start(limits.levels[i])} END AS f{i}"
+              for i in LEVELS],
+        )
+        .selectExpr("*", *[f"max(f{i}) OVER ({_SO_FAR}) AS g{i}" for i in tracked])
     )
-    tracked = LEVELS[1:] if limits.sticky_long else LEVELS[1:2]
-    rows = rows.select("*", *[F.max(f"f{i}").over(_so_far()).alias(f"g{i}") for i in tracked])
-    g1 = F.col("g1")
-    fell, exit_ms = _fell_into_heavy(pt, plr, ms, lr, g1, limits)
-    # A run that came in from the previous slice has no start here: whether its end counts is open.
-    # There is at most one such end per slice.
-    may_fall = (
-        g1.isNull() & _near(pt, ms, limits) & _above(plr, limits.levels[1])
-        & _above(lr, limits.levels[0]) & ~_above(lr, limits.levels[1])
+    leaves = _leaves_overload(limits)
+    # A run that came in from the previous slice has no start here: whether it counted as overload
+    # when it ended is open. There is at most one such end per slice.
+    rows = rows.selectExpr(
+        "*",
+        f"{leaves} AND {_was_confirmed('g1', limits)} AS leaves",
+        f"{leaves} AND g1 IS NULL AS may_leave",
+        f"{crossing(limits.levels[1])} AS x",
     )
     sticky = []
     if limits.sticky_long:
-        starts = [None] + [F.col(f"g{i}") for i in tracked]
-        sticky = [F.max(F.when(_is_long(ms, lr, starts, limits), ms)).alias("known_long")] + [
-            F.max(F.when(_above(lr, limits.levels[i]) & starts[i].isNull(), ms)).alias(f"u{i}")
+        starts = {i: f"g{i}" for i in LEVELS[1:]}
+        sticky = [f"max(CASE WHEN {_long_at('lv', 'ms', starts, limits)} THEN ms END) AS known_long"]
+        sticky += [
+            f"max(CASE WHEN lv > {limits.levels[i]}D AND g{i} IS NULL THEN ms END) AS u{i}"
             for i in LEVELS[2:]
         ]
-    return (
-        rows.where(_own(limits))
-        .groupBy("mp_id", "slice")
-        .agg(
-            F.min("ms").alias("first_ms"),
-            F.min_by("lr", "ms").alias("first_lr"),
-            F.min_by("nt", "ms").alias("first_nt"),
-            F.max("ms").alias("last_ms"),
-            F.max_by("lr", "ms").alias("last_lr"),
-            F.max_by("pt", "ms").alias("last_pt"),
-            F.max_by("plr", "ms").alias("last_plr"),
-            *[F.max(f"f{i}").alias(f"f{i}") for i in LEVELS],
-            F.max(F.when(fell, exit_ms)).alias("exit_ms"),
-            F.max(F.when(fell, nt)).alias("exit_nt"),
-            F.max(F.when(may_fall, exit_ms)).alias("open_exit_ms"),
-            F.max(F.when(may_fall, pt)).alias("open_exit_pt"),
-            F.max(F.when(may_fall, nt)).alias("open_exit_nt"),
-            *sticky,
-        )
-    )
+    columns = [
+        "min(ms) AS first_ms", "min_by(lr, ms) AS first_lr", "min_by(nt, ms) AS first_nt",
+        "max(ms) AS last_ms", "max_by(lr, ms) AS last_lr",
+        "max_by(pt, ms) AS last_pt", "max_by(plr, ms) AS last_plr",
+        *[f"max(f{i}) AS f{i}" for i in LEVELS],
+        "max(CASE WHEN leaves THEN x END) AS exit_ms",
+        "max(CASE WHEN leaves THEN nt END) AS exit_nt",
+        "max(CASE WHEN may_leave THEN x END) AS open_exit_ms",
+        "max(CASE WHEN may_leave THEN pt END) AS open_exit_pt",
+        "max(CASE WHEN may_leave THEN nt END) AS open_exit_nt",
+        *sticky,
+    ]
+    return rows.where(_own(limits)).groupBy("mp_id", "slice").agg(*[F.expr(e) for e in columns])
+
+
+_STATE_STARTS = ["ths", "tos", "tos1", "tos2", "tos3", "tos4", "tos5"]
 
 
 def _state_summaries(state: DataFrame, limits: Limits) -> DataFrame:
     """Stored states in the form of a summary that comes before every slice."""
-    heavy = F.col("status") == HEAVY
-    was_long = F.col("overloadstatus").isin(LONG, SHORT_AFTER_LONG)
-    ms = to_ms(F.col("time"))
-    return state.select(
-        "mp_id",
-        F.lit(None).cast("bigint").alias("slice"),
-        ms.alias("last_ms"),
-        F.col("loadrate").alias("last_lr"),
+    times = state.select(
+        "mp_id", "loadrate", "status", "overloadstatus", to_ms(F.col("time")).alias("ms"),
         *[to_ms(F.col(c)).alias(f"f{i}") for i, c in enumerate(_STATE_STARTS)],
-        F.when(heavy, to_ms(F.col("ths"))).alias("exit_ms"),
-        F.when(heavy, F.lit(OPEN_END)).alias("exit_nt"),
-        F.col("overloadstatus").alias("given_class"),
-        *([F.when(was_long, ms).alias("known_long")] if limits.sticky_long else []),
     )
-
-
-_STATE_STARTS = ["ths", "tos", "tos1", "tos2", "tos3", "tos4", "tos5"]
+    sticky = []
+    if limits.sticky_long:
+        sticky = [
+            f"CASE WHEN overloadstatus IN ({LONG}, {SHORT_AFTER_LONG}) THEN ms END AS known_long"
+        ]
+    return times.selectExpr(
+        "mp_id", "CAST(NULL AS BIGINT) AS slice", "ms AS last_ms", "loadrate AS last_lr",
+        *[f"f{i}" for i in LEVELS],
+        f"CASE WHEN status = {HEAVY} THEN f0 END AS exit_ms",
+        f"CASE WHEN status = {HEAVY} THEN {OPEN_END} END AS exit_nt",
+        "overloadstatus AS given_class",
+        *sticky,
+    )
 
 
 def _seeds(summaries: DataFrame, limits: Limits) -> DataFrame:
     """Last reading before each slice with its run starts, addressed to that slice."""
-    c = F.col
-    over = limits.levels[1]
-    step = summaries.select(
-        "*",
-        F.lag("last_ms").over(_point()).alias("pt"),
-        F.lag("last_lr").over(_point()).alias("plr"),
-        F.lead("slice").over(_point()).alias("next_slice"),
-        F.lead("first_ms").over(_point()).alias("next_ms"),
-    )
-    step = step.select(
-        "*",
-        *[
-            _run_start(
-                c("pt"), c("plr"), c("first_ms"), c("first_lr"), limits.levels[i], limits
-            ).alias(f"b{i}")
-            for i in LEVELS
-        ],
-    )
-    step = step.select(
-        "*",
-        *[
-            F.max(F.greatest(f"f{i}", f"b{i}")).over(_before_slice()).alias(f"m{i}")
-            for i in LEVELS[1:]
-        ],
-    )
-    fell_first, first_exit = _fell_into_heavy(
-        c("pt"), c("plr"), c("first_ms"), c("first_lr"), c("m1"), limits
-    )
-    open_confirmed = _lasted(F.greatest("m1", "b1"), c("open_exit_pt"), limits.confirm_minutes)
-    exit_ms = F.coalesce(
-        c("exit_ms"), F.when(open_confirmed, c("open_exit_ms")), F.when(fell_first, first_exit)
-    )
-    exit_nt = F.coalesce(
-        c("exit_nt"), F.when(open_confirmed, c("open_exit_nt")), F.when(fell_first, c("first_nt"))
+    # The first reading of each slice, now with the last one of the slice before.
+    step = (
+        summaries.selectExpr(
+            "*",
+            "first_ms AS ms", "first_lr AS lr",
+            f"lag(last_ms) OVER ({_POINT}) AS pt",
+            f"lag(last_lr) OVER ({_POINT}) AS plr",
+            f"lead(slice) OVER ({_POINT}) AS next_slice",
+            f"lead(first_ms) OVER ({_POINT}) AS next_ms",
+        )
+        .selectExpr("*", *pair_columns(limits))
+        .selectExpr("*", *[f"{_run_start(limits.levels[i])} AS b{i}" for i in LEVELS])
+        .selectExpr(
+            "*",
+            *[f"max(greatest(f{i}, b{i})) OVER ({_BEFORE_SLICE}) AS m{i}" for i in LEVELS[1:]],
+        )
+        .selectExpr(
+            "*",
+            f"{_leaves_overload(limits)} AND {_was_confirmed('m1', limits)} AS leaves_first",
+            f"coalesce(open_exit_pt - greatest(m1, b1) >= {limits.confirm_ms}, false) AS leaves_open",
+        )
     )
-    long_ms = F.lit(None).cast("bigint")
+    long_ms = "CAST(NULL AS BIGINT)"
     if limits.sticky_long:
-        long_ms = F.greatest(
-            c("known_long"),
-            *[
-                F.when(
-                    _lasted(
-                        F.greatest(f"m{i}", f"b{i}"), c(f"u{i}"), limits.long_minutes[i - 2]
-                    ),
-                    c(f"u{i}"),
-                )
-                for i in LEVELS[2:]
-            ],
-        )
-    step = step.select(
+        later = [
+            f"CASE WHEN u{i} - greatest(m{i}, b{i}) >= {limits.long_minutes[i - 2] * MINUTE} THEN u{i} END"
+            for i in LEVELS[2:]
+        ]
+        long_ms = f"greatest(known_long, {', '.join(later)})"
+    step = step.selectExpr(
         "*",
-        exit_ms.alias("x"),
-        F.when(exit_nt == OPEN_END, F.coalesce("next_ms", F.lit(OPEN_END)))
-        .otherwise(exit_nt).alias("xn"),
-        long_ms.alias("l"),
-    )
-    step = step.select(
-        "mp_id", "next_slice", "last_ms", "last_lr", "given_class",
-        F.coalesce("last_pt", "pt").alias("pt"),
-        F.coalesce("last_plr", "plr").alias("plr"),
-        F.max(F.greatest("f0", "b0", "x")).over(_up_to_slice()).alias("e0"),
-        *[F.greatest(f"m{i}", f"f{i}", f"b{i}").alias(f"e{i}") for i in LEVELS[1:]],
-        F.max("x").over(_up_to_slice()).alias("ex"),
-        F.max("xn").over(_up_to_slice()).alias("en"),
-        F.max("l").over(_up_to_slice()).alias("el"),
+        "coalesce(exit_ms, CASE WHEN leaves_open THEN open_exit_ms END, "
+        f"CASE WHEN leaves_first THEN {crossing(limits.levels[1])} END) AS x",
+        "coalesce(exit_nt, CASE WHEN leaves_open THEN open_exit_nt END, "
+        "CASE WHEN leaves_first THEN first_nt END) AS xn",
+        f"{long_ms} AS l",
+    )
+    # Now the last reading of each slice; its predecessor is in the same slice or the one before.
+    step = (
+        step.selectExpr(
+            "mp_id", "next_slice AS slice", "last_ms AS ms", "last_lr AS lr", "given_class",
+            "coalesce(last_pt, pt) AS pt", "coalesce(last_plr, plr) AS plr",
+            f"max(greatest(f0, b0, x)) OVER ({_UP_TO_SLICE}) AS e0",
+            *[f"greatest(m{i}, f{i}, b{i}) AS e{i}" for i in LEVELS[1:]],
+            f"max(x) OVER ({_UP_TO_SLICE}) AS ex",
+            f"max(CASE WHEN xn = {OPEN_END} THEN coalesce(next_ms, xn) ELSE xn END) "
+            f"OVER ({_UP_TO_SLICE}) AS en",
+            f"max(l) OVER ({_UP_TO_SLICE}) AS el",
+        )
+        .where("slice IS NOT NULL")
+        .selectExpr("*", *pair_columns(limits))
     )
-    starts = [c(f"e{i}") for i in LEVELS]
-    is_over = _above(c("last_lr"), over) & _lasted(c("e1"), c("last_ms"), limits.confirm_minutes)
-    computed = F.when(
-        is_over,
-        _overload_class(
-            c("pt"), c("plr"), c("last_ms"), c("last_lr"), starts, c("el"), limits
-        ),
-    ).otherwise(F.lit(NO_OVERLOAD))
-    return step.where(c("next_slice").isNotNull()).select(
-        "mp_id", c("next_slice").alias("slice"), c("last_ms").alias("ms"),
-        c("last_lr").alias("lr"), *starts, "ex", "en", "el",
-        F.coalesce("given_class", computed).alias("eclass"),
+    starts = {i: f"e{i}" for i in LEVELS}
+    return step.selectExpr(
+        "mp_id", "slice", "ms", "lr", *starts.values(), "ex", "en", "el",
+        f"coalesce(given_class, CASE WHEN lv > {limits.levels[1]}D AND ms - e1 >= {limits.confirm_ms} "
+        f"THEN {_overload_class(starts, 'el', limits)} ELSE {NO_OVERLOAD} END) AS eclass",
     )
 
 
 # --- step 4: all readings with their runs and status ----------------------------------------------
 
 
-def track(readings: DataFrame, limits: Limits = Limits(), state: DataFrame | None = None) -> DataFrame:
+def track(
+    readings: DataFrame, limits: Limits = Limits(), state: DataFrame | None = None
+) -> DataFrame:
     """Readings (mp_id, time, loadrate) with run starts and status, one row per reading time.
 
     ``state`` is the latest status row of measuring points from earlier batches; the readings must
     then all be later than the state of their point. Times are epoch milliseconds in the result:
     ``ms``/``lr`` of the reading, ``pt``/``plr`` of the one before it, ``s0``-``s6`` run starts,
-    ``status``/``klass``, the same with a ``p`` prefix for the reading before, and ``over_*`` /
-    ``heavy_start`` of the next confirmation for back-filling.
+    ``status``/``klass``, the same with a ``p`` prefix for the reading before, ``over_found`` /
+    ``heavy_found`` for readings that confirm a run, and ``over_*`` / ``heavy_start`` of the next
+    such reading for back-filling.
     """
-    c = F.col
     heavy, over = limits.levels[0], limits.levels[1]
     sliced = _in_slices(points(readings), limits)
     summaries = _summaries(sliced, limits).withColumn("given_class", F.lit(None).cast("int"))
@@ -356,100 +316,85 @@ def track(readings: DataFrame, limits: Limits = Limits(), state: DataFrame | Non
         summaries = summaries.unionByName(
             _state_summaries(state, limits), allowMissingColumns=True
         )
-    seeds = _seeds(summaries, limits)
+    seeds = _seeds(summaries, limits).repartition("mp_id", "slice")
     rows = sliced.withColumn("seed", F.lit(False)).unionByName(
-        seeds.withColumn("seed", F.lit(True)).repartition("mp_id", "slice"),
-        allowMissingColumns=True,
-    )
-    pt, plr, ms, lr, nt = c("pt"), c("plr"), c("ms"), c("lr"), c("nt")
-    rows = rows.select(
-        "*",
-        F.lag("ms").over(_slice()).alias("pt"),
-        F.lag("lr").over(_slice()).alias("plr"),
-        F.coalesce(F.lead("ms").over(_slice()), F.lit(OPEN_END)).alias("nt"),
-    )
-    rows = rows.select(
-        "*",
-        *[
-            F.when(c("seed"), c(f"e{i}"))
-            .otherwise(_run_start(pt, plr, ms, lr, limits.levels[i], limits)).alias(f"f{i}")
-            for i in LEVELS
-        ],
-    )
-    rows = rows.select(
-        "*", *[F.max(f"f{i}").over(_so_far()).alias(f"g{i}") for i in LEVELS[1:]]
-    )
-    is_over = _above(lr, over) & _lasted(c("g1"), ms, limits.confirm_minutes)
-    fell, exit_ms = _fell_into_heavy(pt, plr, ms, lr, c("g1"), limits)
-    rows = rows.select(
-        "*",
-        is_over.alias("over"),
-        F.when(c("seed"), c("ex")).when(fell, exit_ms).alias("x"),
-        F.when(c("seed"), c("en")).when(fell, nt).alias("xn"),
-    )
-    long_now = F.lit(None).cast("bigint")
-    if limits.sticky_long:
-        starts = [None] + [c(f"g{i}") for i in LEVELS[1:]]
-        long_now = F.when(c("seed"), c("el")).when(_is_long(ms, lr, starts, limits), ms)
-    rows = rows.select("*", long_now.alias("l"))
-    rows = rows.select(
-        "*",
-        F.max(F.greatest("f0", "x")).over(_so_far()).alias("g0"),
-        F.max("x").over(_so_far()).alias("gx"),
-        F.max("xn").over(_so_far()).alias("gxn"),
-        (F.max("l").over(_so_far()) if limits.sticky_long else c("l")).alias("last_long"),
-    )
-    rows = rows.select(
-        "*",
-        F.when(_above(lr, heavy) & ~c("over"), c("g0")).alias("s0"),
-        *[F.when(_above(lr, limits.levels[i]), c(f"g{i}")).alias(f"s{i}") for i in LEVELS[1:]],
+        seeds.withColumn("seed", F.lit(True)), allowMissingColumns=True
+    )
+    starts = {i: f"g{i}" for i in LEVELS}
+    rows = (
+        rows.selectExpr("*", *_neighbours())
+        .selectExpr("*", *pair_columns(limits))
+        .selectExpr(
+            "*",
+            *[f"CASE WHEN seed THEN e{i} ELSE {_run_start(limits.levels[i])} END AS f{i}"
+              for i in LEVELS],
+        )
+        .selectExpr("*", *[f"max(f{i}) OVER ({_SO_FAR}) AS g{i}" for i in LEVELS[1:]])
+        .selectExpr(
+            "*",
+            f"coalesce(lv > {over}D AND ms - g1 >= {limits.confirm_ms}, false) AS over",
+            f"{_leaves_overload(limits)} AND {_was_confirmed('g1', limits)} AS leaves",
+            f"{_long_at('lv', 'ms', starts, limits)} AS long_now",
+        )
+        .selectExpr(
+            "*",
+            f"CASE WHEN seed THEN ex WHEN leaves THEN {crossing(over)} END AS x",
+            "CASE WHEN seed THEN en WHEN leaves THEN nt END AS xn",
+            "CASE WHEN seed THEN el WHEN long_now THEN ms END AS l",
+        )
+        .selectExpr(
+            "*",
+            f"max(greatest(f0, x)) OVER ({_SO_FAR}) AS g0",
+            f"max(x) OVER ({_SO_FAR}) AS gx",
+            f"max(xn) OVER ({_SO_FAR}) AS gxn",
+            f"max(l) OVER ({_SO_FAR}) AS last_long",
+        )
+        .selectExpr(
+            "*",
+            f"CASE WHEN lv > {heavy}D AND NOT over THEN g0 END AS s0",
+            *[f"CASE WHEN lv > {limits.levels[i]}D THEN g{i} END AS s{i}" for i in LEVELS[1:]],
+        )
     )
     # A heavy run left behind by an overload is heavy at its first reading, and stays so if it has
     # lasted for the hold time at its second one; any other run needs the confirmation time.
-    inherits = (c("gx") == c("s0")) & ((c("gxn") > ms) | (c("gxn") - c("s0") >= limits.hold_ms))
-    is_heavy = c("s0").isNotNull() & (
-        _lasted(c("s0"), ms, limits.confirm_minutes) | F.coalesce(inherits, F.lit(False))
-    )
-    status = (
-        F.when(c("over"), F.lit(OVERLOAD)).when(is_heavy, F.lit(HEAVY))
-        .when(~usable(lr), F.lit(NOT_COMPUTABLE)).otherwise(F.lit(NORMAL))
-    )
-    klass = (
-        F.when(c("seed"), c("eclass"))
-        .when(
-            c("over"),
-            _overload_class(
-                pt, plr, ms, lr, [c(f"g{i}") for i in LEVELS], c("last_long"), limits
-            ),
+    is_heavy = (
+        f"s0 IS NOT NULL AND (ms - s0 >= {limits.confirm_ms} "
+        f"OR (gx = s0 AND (gxn > ms OR gxn - s0 >= {limits.hold_ms})))"
+    )
+    rows = (
+        rows.selectExpr(
+            "mp_id", "slice", "seed", "ms", "lr", "pt", "plr", "near", "hop",
+            *[f"s{i}" for i in LEVELS],
+            f"CASE WHEN over THEN {OVERLOAD} WHEN {is_heavy} THEN {HEAVY} "
+            f"WHEN lr = {UNUSABLE}D THEN {NOT_COMPUTABLE} ELSE {NORMAL} END AS status",
+            "CASE WHEN seed THEN eclass "
+            f"WHEN over THEN {_overload_class(starts, 'last_long', limits)} "
+            f"ELSE {NO_OVERLOAD} END AS klass",
+        )
+        .selectExpr(
+            "*",
+            f"coalesce(lag(status) OVER ({_SLICE}), {NORMAL}) AS pstatus",
+            f"lag(klass) OVER ({_SLICE}) AS pklass",
+            f"lag(s0) OVER ({_SLICE}) AS ps0",
+            f"lag(s1) OVER ({_SLICE}) AS ps1",
+        )
+        .selectExpr(
+            "*",
+            f"NOT seed AND status = {OVERLOAD} AND pstatus <> {OVERLOAD} AS over_found",
+            f"NOT seed AND status = {HEAVY} AND pstatus NOT IN ({HEAVY}, {OVERLOAD}) AS heavy_found",
         )
-        .otherwise(F.lit(NO_OVERLOAD))
-    )
-    rows = rows.select(
-        "mp_id", "slice", "seed", "ms", "lr", "pt", "plr", *[f"s{i}" for i in LEVELS],
-        status.alias("status"), klass.alias("klass"),
-    )
-    rows = rows.select(
-        "*",
-        F.coalesce(F.lag("status").over(_slice()), F.lit(NORMAL)).alias("pstatus"),
-        F.lag("klass").over(_slice()).alias("pklass"),
-        F.lag("s0").over(_slice()).alias("ps0"),
-        F.lag("s1").over(_slice()).alias("ps1"),
-    )
-    over_found = ~c("seed") & (c("status") == OVERLOAD) & (c("pstatus") != OVERLOAD)
-    heavy_found = ~c("seed") & (c("status") == HEAVY) & ~c("pstatus").isin(HEAVY, OVERLOAD)
-    rows = rows.select("*", over_found.alias("over_found"), heavy_found.alias("heavy_found"))
-    rows = rows.select(
-        "*",
-        F.last(F.when(c("over_found"), c("s1")), ignorenulls=True).over(_backwards())
-        .alias("over_start"),
-        F.last(F.when(c("over_found"), c("klass")), ignorenulls=True).over(_backwards())
-        .alias("over_class"),
-        F.last(F.when(c("heavy_found"), c("s0")), ignorenulls=True).over(_backwards())
-        .alias("heavy_start"),
     )
-    return rows.where(~c("seed") & _own(limits)).drop("slice", "seed")
 
+    def next_found(flag: str, value: str) -> str:
+        return f"last(CASE WHEN {flag} THEN {value} END, true) OVER ({_BACKWARDS})"
 
-def duration(start: Column, ms: Column) -> Column:
-    """Minutes since a run start, 0 without a run."""
-    return F.coalesce(minutes_between(start, ms), F.lit(0).cast("bigint"))
+    return (
+        rows.selectExpr(
+            "*",
+            f"{next_found('over_found', 's1')} AS over_start",
+            f"{next_found('over_found', 'klass')} AS over_class",
+            f"{next_found('heavy_found', 's0')} AS heavy_start",
+        )
+        .where(f"NOT seed AND {_own(limits)}")
+        .drop("slice", "seed")
+    )
