@@ -11,12 +11,14 @@ BROADCAST_ROWS = 1_000_000
 
 
 def typed_dimension(raw: DataFrame) -> DataFrame:
-    """Three untyped columns (key, ratio text, capacity) named and cast; bad values become NULL."""
-    key, text, capacity = raw.columns
+    """The first three, untyped columns (key, ratio text, capacity) named and cast; bad values become
+    NULL. Further columns, such as a line number, are kept as they are."""
+    key, text, capacity, *others = raw.columns
     return raw.select(
         F.col(key).try_cast("bigint").alias("mp_id"),
         F.col(text).cast("string").alias("bl"),
         F.col(capacity).try_cast("double").alias("capacity"),
+        *others,
     )
 
 
