@@ -54,7 +54,7 @@ def lines(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
             CASE WHEN event_id % 37 = 0 THEN 'a|b' ELSE k END, '||',
             v, '||', v, '00||12', k, '345||', k, '.123456||',
             '0.', k, '||.5||1e3||',
-            CASE WHEN event_id % 19 = 0 THEN '' ELSE '||' END
+            CASE WHEN event_id % 19 = 0 THEN '||' ELSE '' END
         ) AS value""",
     )
     if copies:
@@ -93,7 +93,7 @@ LINES = """SELECT event_type, concat(
   CASE WHEN event_id % 37 = 0 THEN 'a|b' ELSE k END, '||',
   CAST(value AS VARCHAR), '||', CAST(value AS VARCHAR), '00||12', k, '345||', k, '.123456||',
   '0.', k, '||.5||1e3||',
-  CASE WHEN event_id % 19 = 0 THEN '' ELSE '||' END) AS value
+  CASE WHEN event_id % 19 = 0 THEN '||' ELSE '' END) AS value
 FROM (SELECT *, regexp_extract(props, '([0-9]+)', 1) AS k FROM events)"""
 
 LINE_COPIES = f"SELECT value FROM ({LINES}) UNION ALL SELECT value FROM ({LINES}) WHERE event_type = 'click'"

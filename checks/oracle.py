@@ -298,7 +298,7 @@ FROM ({unseen}) LEFT JOIN ({user_state()}) USING (mp_id)""",
 WHERE mp_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '{EARLY}')""",
         "refresh_due": """SELECT o_orderkey, dayofweek(o_orderdate) = 2 AS due FROM orders""",
         "text_compact": f"""SELECT value AS line FROM ({LINES})
-WHERE contains(regexp_replace(value, '^[^0-9]*', ''), '12')""",
+WHERE contains(regexp_replace(value, '^[^0-9]*', ''), '77')""",
         "peek_limit": """SELECT event_id, event_type, value FROM events WHERE event_id >= 100
 ORDER BY event_id LIMIT 20""",
         "predicate_partition_scan": """SELECT CASE WHEN c_name IS NULL THEN 4

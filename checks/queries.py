@@ -148,7 +148,7 @@ def queries() -> dict[str, Query]:
         "refresh_due": lambda s, d: table(s, d, "orders").select(
             "o_orderkey", refresh_due(F.col("o_orderdate")).alias("due")
         ),
-        "text_compact": lambda s, d: compact_lines(lines(s, d), "12"),
+        "text_compact": lambda s, d: compact_lines(lines(s, d), "77"),
         "peek_limit": lambda s, d: peek(
             table(s, d, "events").select("event_id", "event_type", "value"), "event_id", 100
         ),
