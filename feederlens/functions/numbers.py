@@ -6,8 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from feederlens.settings import UNUSABLE
 
-# Text patterns of a number and of a whole number.
-NUMBER_PATTERN = r"\A[+-]?[0-9]+(\.[0-9]+)?\z"
+# Text patterns of a number, blanks around it allowed, and of a whole number.
+NUMBER_PATTERN = r"\A[\x00-\x20]*+[+-]?[0-9]++(?:\.[0-9]++)?[\x00-\x20]*+\z"
 DIGITS_PATTERN = r"\A[0-9]+\z"
 # Everything up to the blank counts as white space around a field.
 WHITE_SPACE = "".join(chr(c) for c in range(0x21))
@@ -26,10 +26,18 @@ def format_double(value: Column) -> Column:
     return F.when(F.abs(value) > UNUSABLE, F.lit(UNUSABLE)).otherwise(F.round(value, 4))
 
 
-def measure(text: Column) -> Column:
-    """A stripped text field as a measure; anything that is not a plain number is unusable."""
-    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    return F.coalesce(format_double(number), F.lit(UNUSABLE))
+def plain_number(text: Column) -> Column:
+    """A text as a number: sign, digits and decimals only. NULL for anything else."""
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
+def measure(number: Column, text: Column) -> Column:
+    """A measure from a text and its ``plain_number``; what is not a plain number is unusable.
+
+    Same as ``format_double``, but rounding is left out where the text shows that it does nothing.
+    """
+    rounded = F.when(text.rlike(r"\.[0-9]{5}"), F.round(number, 4)).otherwise(number)
+    return F.when(F.abs(number) <= UNUSABLE, rounded).otherwise(F.lit(UNUSABLE))
 
 
 def ratio(text: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Fixed value: year-month-day and a time of day with optional fraction; a bare date is no time.
-TIME_PATTERN = (
-    r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?\z"
+TIME_FORM = (
+    r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]{1,9})?"
 )
+TIME_PATTERN = rf"\A{TIME_FORM}\z"
 
 
 def epoch() -> Column:

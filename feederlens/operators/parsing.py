@@ -6,15 +6,20 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feederlens.functions.numbers import DIGITS_PATTERN, measure, strip
-from feederlens.functions.times import parse_time
+from feederlens.functions.numbers import measure, plain_number, strip
+from feederlens.functions.times import TIME_FORM, parse_time
 from feederlens.schema import MEASURES, SECONDARY_COLUMNS
 from feederlens.settings import FIELD_COUNT
 
 DELIMITER = r"\|\|"
-# A line is good when it has exactly so many fields and no single delimiter sign inside a field.
-LINE_PATTERN = r"\A([^|]*\|\|){%d}[^|]*\z" % (FIELD_COUNT - 1)
-DIGIT = "[0-9]"
+_BLANK = r"[\x00-\x20]*"
+# A good line has exactly so many fields and no single delimiter sign inside one. Its first field
+# is a whole number after any junk without digits, such as a byte order mark; its second is a full
+# time. One pattern for all of it means that a bad line is dropped before it is split.
+LINE_PATTERN = (
+    rf"\A[^0-9|]*+[0-9]++{_BLANK}\|\|{_BLANK}{TIME_FORM}{_BLANK}"
+    rf"(?:\|\|[^|]*+){{{FIELD_COUNT - 2}}}\z"
+)
 
 
 def without_prefix(line: Column) -> Column:
@@ -25,22 +30,27 @@ def without_prefix(line: Column) -> Column:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Readings of the well-formed lines; measures that are no numbers become unusable.
 
-    Lines without a whole-number key or a full time are dropped. The field count is checked again
-    after the prefix is gone, because a key without digits would shift all fields.
+    Lines without a whole-number key or a full time are dropped.
     """
     line = F.col(column)
-    fields = (
-        lines.where(line.rlike(LINE_PATTERN) & line.rlike(DIGIT))
-        .select(F.split(without_prefix(line), DELIMITER, -1).alias("f"))
-        .where(F.size("f") == FIELD_COUNT)
+    # The generator keeps Catalyst from copying the split into the filters and columns that use it.
+    fields = lines.where(line.rlike(LINE_PATTERN)).select(
+        F.explode(F.array(F.split(line, DELIMITER, -1))).alias("f")
     )
-    texts = fields.select(*[strip(F.col("f")[i]).alias(f"t{i}") for i in range(FIELD_COUNT)])
-    key = F.when(F.col("t0").rlike(DIGITS_PATTERN), F.col("t0").try_cast("bigint"))
-    return texts.select(
-        key.alias("mp_id"),
-        parse_time(F.col("t1")).alias("time"),
-        *[measure(F.col(f"t{i + 2}")).alias(name) for i, name in enumerate(MEASURES)],
+    texts = fields.select(
+        F.regexp_extract(F.col("f")[0], "[0-9]+", 0).try_cast("bigint").alias("mp_id"),
+        parse_time(strip(F.col("f")[1])).alias("time"),
+        *[F.col("f")[i + 2].alias(f"t{i}") for i in range(len(MEASURES))],
     ).where(F.col("mp_id").isNotNull() & F.col("time").isNotNull())
+    numbers = texts.select(
+        "mp_id", "time",
+        *[F.col(f"t{i}") for i in range(len(MEASURES))],
+        *[plain_number(F.col(f"t{i}")).alias(f"n{i}") for i in range(len(MEASURES))],
+    )
+    return numbers.select(
+        "mp_id", "time",
+        *[measure(F.col(f"n{i}"), F.col(f"t{i}")).alias(c) for i, c in enumerate(MEASURES)],
+    )
 
 
 def recent(readings: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
