@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Fixed value: year-month-day and a time of day with optional fraction; a bare date is no time.
 TIME_FORM = (
@@ -15,8 +15,20 @@ def epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def _session_in_utc() -> bool:
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else ""
+    return zone in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 def to_ms(time: Column) -> Column:
-    # Same as unix_millis for UTC, but independent of the session zone.
+    """Milliseconds since 1970 as the clock of the readings counts them, in any session zone.
+
+    Going through an instant is the cheapest way, but only in UTC is it the same: elsewhere clock
+    times that daylight saving skips would move.
+    """
+    if _session_in_utc():
+        return F.unix_millis(time.cast("timestamp"))
     return F.timestamp_diff("MILLISECOND", epoch(), time)
 
 
