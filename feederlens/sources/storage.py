@@ -29,6 +29,26 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(found)) if fs.exists(found) else []
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as a new file; it appears under its name only when it is whole."""
+    fs, found = _hadoop_path(spark, path)
+    part = found.suffix(f".{uuid.uuid4().hex}")
+    stream = fs.create(part)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(part, found):
+        raise OSError(f"could not create {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, found = _hadoop_path(spark, path)
+    stream = fs.open(found)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a table write into a folder was committed."""
     return exists(spark, f"{path}/_SUCCESS")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,7 @@ from feederlens.operators.power import primary_readings, stored_readings
 from feederlens.operators.runs import track
 from feederlens.settings import Limits
 from feederlens.sources.daytables import DayTables
-from feederlens.sources.storage import is_complete, shared_folder
+from feederlens.sources.storage import exists, read_text, shared_folder, write_text
 from feederlens.streaming.interval import trigger_interval
 from feederlens.streaming.state import StateStore
 
@@ -27,10 +28,11 @@ from feederlens.streaming.state import StateStore
 class LoadJob:
     """Handles micro-batches of lines; everything it keeps is below ``root``.
 
-    ``dimension`` is called in every batch, so a changed transformer table counts from the next
-    batch on. ``as_of`` replaces the clock for the 24-hour filter. Repeating a batch gives the
-    same tables again: outputs are replaced per batch, the state is read as of the batch before,
-    and the clock time of the first attempt is kept.
+    ``dimension`` is called in every batch, so a changed transformer table counts at once; with
+    ``refresh_weekday`` (0 is Sunday) it is kept and only called anew once on each such day.
+    ``as_of`` replaces the clock for the 24-hour filter. Repeating a batch gives the same tables
+    again: outputs are replaced per batch, the state is read as of the batch before, and the clock
+    time of the first attempt is kept.
     """
 
     root: str
@@ -38,7 +40,9 @@ class LoadJob:
     limits: Limits = field(default_factory=Limits)
     as_of: str | None = None
     state_base_every: int = 50
+    refresh_weekday: int | None = None
     counts: dict[int, int] = field(default_factory=dict)
+    _kept: tuple[date, DataFrame] | None = field(default=None, repr=False)
 
     @property
     def tables(self) -> DayTables:
@@ -49,13 +53,23 @@ class LoadJob:
         return StateStore(f"{self.root}/state", self.state_base_every)
 
     def _clock(self, spark: SparkSession, batch: int) -> str:
-        path = f"{self.root}/clock/batch={batch}"
-        if not is_complete(spark, path):
-            now = F.lit(self.as_of).cast("timestamp_ntz") if self.as_of else F.localtimestamp()
-            spark.range(1).select(now.cast("string").alias("as_of")).write.mode(
-                "overwrite"
-            ).parquet(path)
-        return spark.read.schema("as_of string").parquet(path).first()["as_of"]
+        path = f"{self.root}/clock/batch-{batch}"
+        if not exists(spark, path):
+            now = self.as_of or str(spark.range(1).select(F.localtimestamp()).first()[0])
+            write_text(spark, path, now)
+        return read_text(spark, path)
+
+    def _dimension(self, spark: SparkSession, now: str) -> DataFrame:
+        if self.refresh_weekday is None:
+            return clean_dimension(self.dimension(spark))
+        today = date.fromisoformat(now[:10])
+        if self._kept is None or (
+            today.isoweekday() % 7 == self.refresh_weekday and self._kept[0] != today
+        ):
+            if self._kept is not None:
+                self._kept[1].unpersist()
+            self._kept = (today, clean_dimension(self.dimension(spark)).persist())
+        return self._kept[1]
 
     def process(self, lines: DataFrame, batch: int) -> None:
         """One micro-batch: readings, primary values, status rows, episodes, marks, state."""
@@ -63,15 +77,14 @@ class LoadJob:
             return
         spark = lines.sparkSession
         seen = Observation(f"batch-{batch}")
-        readings = dedup_readings(
-            recent(parse_lines(lines), self._clock(spark, batch))
-        ).persist()
+        now = self._clock(spark, batch)
+        readings = dedup_readings(recent(parse_lines(lines), now)).persist()
         kept = [readings]
         try:
             counted = readings.observe(seen, F.count(F.lit(1)).alias("readings"))
             self.tables.write("secondary", counted, batch)
             self.counts[batch] = seen.get["readings"]
-            dimension = clean_dimension(self.dimension(spark))
+            dimension = self._dimension(spark, now)
             primary = primary_readings(attach_dimension(readings, dimension)).persist()
             kept.append(primary)
             self.tables.write("primary", stored_readings(primary), batch)

@@ -155,3 +155,17 @@ def test_tables_in_catalog(spark):
     names = {r["tableName"] for r in spark.sql("SHOW TABLES IN loads_test").collect()}
     assert names == {"secondary", "primary", "status", "episodes", "marks"}
     spark.sql("DROP DATABASE loads_test CASCADE")
+
+
+def test_dimension_is_reloaded_on_its_day(spark):
+    loads = []
+
+    def counted(session):
+        loads.append(1)
+        return dimension(session)
+
+    job = LoadJob(new_folder(), counted, refresh_weekday=2)
+    for now, expected in [("2024-03-04", 1), ("2024-03-05", 2), ("2024-03-05", 2), ("2024-03-06", 2),
+                          ("2024-03-12", 3)]:
+        assert job._dimension(spark, f"{now} 10:00:00").count() == 40
+        assert len(loads) == expected, now
