@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -100,10 +102,13 @@ class LoadJob:
             status = final_rows(tracked, self.limits).unionByName(late_rows(late_copies(fresh)))
             if late is not None:
                 status = status.unionByName(late_rows(late))
-            self.tables.write("status", status, batch)
-            self.tables.write("episodes", episodes(tracked, self.limits), batch)
-            self.tables.write("marks", marks(tracked), batch)
-            self.state.save(spark, batch, online_rows(tracked))
+            _together(
+                spark,
+                lambda: self.tables.write("status", status, batch),
+                lambda: self.tables.write("episodes", episodes(tracked, self.limits), batch),
+                lambda: self.tables.write("marks", marks(tracked), batch),
+                lambda: self.state.save(spark, batch, online_rows(tracked)),
+            )
         finally:
             for df in kept:
                 df.unpersist()
@@ -127,6 +132,15 @@ class LoadJob:
         return writer.trigger(processingTime=trigger_interval(interval)).start()
 
 
+def _together(spark: SparkSession, *outputs: Callable[[], None]) -> None:
+    """Runs independent outputs of one cached frame as concurrent Spark jobs; they are small, and one
+    after the other they would leave most cores idle. The first error is raised after all ended."""
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(o)) for o in outputs]
+    for future in running:
+        future.result()
+
+
 def batch_durations(query: StreamingQuery) -> list[tuple[int, int]]:
     """(batch, milliseconds) of the recent batches of a query."""
     return [(p.batchId, p.batchDuration) for p in query.recentProgress]
