@@ -41,7 +41,8 @@ def analyse(
     """Writes all day tables for a body of lines and returns the latest status per point.
 
     Every expensive step is computed once: the secondary and primary tables are read back for the
-    steps that follow, and the tracked readings are staged for their three outputs.
+    steps that follow, and the tracked readings are staged for their outputs, in the folder that the
+    session names for checkpoints or else in the given one or below ``root``.
     """
     spark = lines.sparkSession
     tables = DayTables(root, limits)
@@ -51,7 +52,7 @@ def analyse(
     )
     tables.write("primary", stored_readings(primary_readings(attached)), batch)
     rates = tables.read(spark, "primary").select("mp_id", "time", "loadrate")
-    with staged(track(rates, limits), work_folder) as tracked:
+    with staged(track(rates, limits), work_folder or f"{root}/work") as tracked:
         late = late_rows(late_copies(rates))
         tables.write("status", final_rows(tracked, limits).unionByName(late), batch)
         tables.write("episodes", episodes(tracked, limits), batch)

@@ -122,10 +122,9 @@ def test_random_series_continue_from_state(spark, seed, sticky):
 
 def test_scenarios_split_after_every_row(spark):
     """Batch = stream: the second part continues from the state of the first."""
-    for cut in range(1, 10):
-        states = {k: run(s[:cut])["state"] for k, s in ALL.items()}
-        rest = {k: s[cut:] for k, s in ALL.items() if s[cut:]}
-        check(spark, rest, states={k: states[k] for k in rest})
+    cuts = {100 * k + cut: (s, cut) for k, s in ALL.items() for cut in range(1, len(s))}
+    states = {k: run(s[:cut])["state"] for k, (s, cut) in cuts.items()}
+    check(spark, {k: s[cut:] for k, (s, cut) in cuts.items()}, states=states)
 
 
 def test_other_limits(spark):

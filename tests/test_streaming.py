@@ -109,8 +109,8 @@ def test_day_edge(spark):
     texts = [line(1, t + shift, r) for t, r in S1]
     root = new_folder()
     job = LoadJob(root, dimension, as_of="2024-03-06 01:00:00")
-    for n, text in enumerate(texts):
-        job.process(spark.createDataFrame([(text,)], "value string"), n)
+    for n, part in enumerate([texts[:1], texts[1:3], texts[3:]]):
+        job.process(spark.createDataFrame([(t,) for t in part], "value string"), n)
     assert job.tables.read(spark, "episodes", ["20240305"]).count() == 1
     status = job.tables.read_status(spark).orderBy("time")
     assert [r["status"] for r in status.collect()] == [0, 1, 1, 1, 1, 1, 0]
