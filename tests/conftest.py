@@ -9,8 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    from pyspark import SparkConf
     from pyspark.sql import SparkSession
 
+    folder = SparkConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ckpt-")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
@@ -18,7 +20,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ckpt-"))
+        .config("spark.checkpoint.dir", folder)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
