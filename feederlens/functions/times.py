@@ -48,23 +48,6 @@ def day_text(time: Column) -> Column:
     return F.date_format(time, "yyyyMMdd")
 
 
-def minutes_between(start_ms: Column, end_ms: Column) -> Column:
-    """Whole minutes; integer division on BIGINT."""
-    return F.call_function("div", end_ms - start_ms, F.lit(60_000))
-
-
-def crossing_ms(
-    before_ms: Column, before: Column, after_ms: Column, after: Column, level: float
-) -> Column:
-    """Instant at which the straight line between two readings meets a level, cut to milliseconds.
-
-    The operand order is part of the contract: another one can move a result by a millisecond.
-    """
-    rise = F.nullif(after - before, F.lit(0.0))
-    offset = F.lit(1.0) * (after_ms - before_ms) / rise * (F.lit(float(level)) - before)
-    return offset.try_cast("bigint") + before_ms
-
-
 def refresh_due(day: Column, weekday: int = 2) -> Column:
     """Whether a day is the one for reloading the dimension; 0 is Sunday, the default Tuesday."""
     return F.dayofweek(day) - 1 == weekday

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feederlens.functions.numbers import measure, plain_number, strip
-from feederlens.functions.times import TIME_FORM, parse_time
+from feederlens.functions.times import TIME_FORM, day_text, parse_time
 from feederlens.schema import MEASURES, SECONDARY_COLUMNS
 from feederlens.settings import FIELD_COUNT
 
@@ -69,4 +69,4 @@ def dedup_readings(readings: DataFrame) -> DataFrame:
 
 
 def batch_days(readings: DataFrame) -> DataFrame:
-    return readings.select(F.date_format("time", "yyyyMMdd").alias("day")).distinct()
+    return readings.select(day_text(F.col("time")).alias("day")).distinct()

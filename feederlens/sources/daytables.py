@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from feederlens.functions.times import day_text
 from feederlens.operators.episodes import apply_marks
 from feederlens.schema import (
     EPISODE_COLUMNS, MARK_COLUMNS, PRIMARY_COLUMNS, SECONDARY_COLUMNS, STATUS_COLUMNS, table_schema,
@@ -49,7 +50,7 @@ class DayTables:
         columns, day = TABLES[name]
         (
             rows.select(
-                *columns, F.date_format(day, "yyyyMMdd").alias("dt"),
+                *columns, day_text(F.col(day)).alias("dt"),
                 F.lit(batch).cast("bigint").alias("batch"),
             )
             # Even file sizes per day: AQE splits big days and merges small ones. Sorting makes the

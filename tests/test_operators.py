@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feederlens.functions.numbers import format_double, ratio
-from feederlens.functions.times import crossing_ms, from_ms, parse_time, refresh_due, to_ms
+from feederlens.functions.times import from_ms, parse_time, refresh_due, to_ms
 from feederlens.operators import latest as L
 from feederlens.operators.dimension import attach_dimension, clean_dimension, typed_dimension
 from feederlens.operators.parsing import dedup_readings, parse_lines, recent
@@ -132,8 +132,6 @@ def test_number_and_time_functions(spark):
     assert one.select(ratio(F.lit("\t7\n"))).first()[0] == 7.0
     day = dt.datetime(2024, 1, 2)  # a Tuesday
     assert one.select(refresh_due(F.lit(day)), refresh_due(F.lit(day), 0)).first()[:] == (True, False)
-    cross = crossing_ms(*[F.lit(v) for v in (0, 0.7, 900_000, 0.9)], 0.8)
-    assert one.select(cross).first()[0] == 450_000
 
 
 def test_times_do_not_depend_on_the_session_zone(spark):
