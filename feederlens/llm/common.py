@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,6 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SALTS = 16
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, whose Python workers import it, unless that was done."""
+    context = spark.sparkContext
+    if getattr(context, "_llm_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[2]
+    path = f"{tempfile.mkdtemp(prefix='llm-package-')}/feederlens_llm.zip"
+    with zipfile.ZipFile(path, "w") as packed:
+        for file in sorted((top / "feederlens").rglob("*.py")):
+            packed.write(file, file.relative_to(top))
+    context.addPyFile(path)
+    context._llm_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import bpe, chat, exact_dedup, packing, simhash, url_filters
-from feederlens.llm.common import table
+from feederlens.llm import bpe, chat, embedding_dedup, exact_dedup, packing, repeats, simhash, url_filters
+from feederlens.llm.common import ship, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -37,6 +37,14 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, sf, "documents"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
 def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     """The tables hold no lists and no times of fetching, so both are derived from all pages: a page is fetched
     on a day that follows from its id, and enters its host (odd ids: the parent domain) in a list on another."""
@@ -56,6 +64,15 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf)
+
+    run.__doc__ = query.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    found = {name: _shipped(f) for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
