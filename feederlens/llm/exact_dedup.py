@@ -140,3 +140,12 @@ def _split_collisions(marks: DataFrame, bodies: DataFrame, clashing: DataFrame,
         .select(*key, "doc_id", "n_chars", F.to_json("classes").alias("part"))
     )
     return marks.join(listed, [*key, "doc_id", "n_chars"], "left").withColumn("part", F.coalesce("part", F.lit("")))
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stay, with all their columns; of repeated rows one."""
+    kept = exact_groups(docs).where("kept OR keep_id IS NULL").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_kept_rows"))
+    kept = staged(kept, "kept").hint("shuffle_hash")
+    met = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")))
+    once, often = met.where("_kept_rows = 1"), met.where("_kept_rows > 1").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(often).select(*docs.columns)

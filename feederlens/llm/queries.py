@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import bpe, chat, embedding_dedup, exact_dedup, packing, repeats, simhash, toxicity, url_filters
+from feederlens.llm import bpe, chat, embedding_dedup, exact_dedup, lm_scoring, packing, repeats, simhash, toxicity, url_filters
 from feederlens.llm.common import ship, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -41,6 +41,10 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, sf, "documents"))
 

@@ -375,14 +375,25 @@ def repeat_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Texts (doc_id, text) less their repeated bytes; bytes of characters that a cut has split go too."""
+    """The rows of docs, with all their columns, less the repeated bytes of their texts; bytes of characters that a
+    cut has split go too. A null text becomes empty."""
+    found = staged(repeated_windows(docs, length, gram), "spans")
+    text, names = F.coalesce("text", F.lit("")), docs.columns
+    marks = {"_repeat_m1": F.xxhash64(text), "_repeat_m2": F.xxhash64(F.lit(1), text)}
+    met = join_unique(
+        docs.withColumns(marks), found.withColumnsRenamed({"m1": "_repeat_m1", "m2": "_repeat_m2", "spans": "_repeat_spans"}).hint("shuffle_hash"),
+        list(marks), spread("doc_id"), "left",
+    ).select(*names, "_repeat_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = names.index("text")
             kept = [
-                _kept(text, found.as_py(), length)[0].decode("utf-8", "ignore")
-                for text, found in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)
+                _kept(text or "", found.as_py(), length)[0].decode("utf-8", "ignore")
+                for text, found in zip(batch.column(at).to_pylist(), batch.column(len(names)), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], ["doc_id", "text"])
+            columns = [batch.column(i) for i in range(len(names))]
+            columns[at] = pa.array(kept, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _with_spans(docs, length, gram).mapInArrow(run, "doc_id long, text string")
+    return met.mapInArrow(run, docs.schema)

@@ -116,3 +116,11 @@ def near_groups(docs: DataFrame, k: int = 4, limit: int = 4) -> DataFrame:
     return join_unique(marks, classes, ["fp"], spread("doc_id")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def without_near_copies(docs: DataFrame, k: int = 4, limit: int = 4) -> DataFrame:
+    """The rows of docs, with all their columns, that stand for their group: those with its smallest doc_id. Groups in
+    which no row has an id stay whole."""
+    kept = near_groups(docs, k, limit).where("component_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    kept = staged(kept, "kept").hint("shuffle_hash")
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")

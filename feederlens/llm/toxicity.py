@@ -93,7 +93,6 @@ def character_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(0x250, np.int64)
-        table[:] = 0
         for point in range(0x250):
             low = chr(point).lower()
             table[point] = _CODE.get(low, OTHER if low.isalpha() else 0) if len(low) == 1 else OTHER
@@ -259,22 +258,42 @@ def _logistic(table: list, chosen: list[str]) -> tuple[dict[str, float], float]:
 SCORED = "doc_id long, score double"
 
 
+def _learnt(docs: DataFrame, labels: DataFrame, rows: int, features: int):
+    model = character_model(docs)
+    return docs.sparkSession.sparkContext.broadcast((model, fit(docs, labels, model, rows, features)))
+
+
+def _scores(of: Features, classifier: Classifier, texts: list[str | None]) -> list[float]:
+    return [classifier.score(x) for i in range(0, len(texts), 1000) for x in of.of_texts(texts[i : i + 1000])]
+
+
+def clean(docs: DataFrame, labels: DataFrame, at: float = PREDICTED_AT) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is below ``at``."""
+    shared, names = _learnt(docs, labels, TRAIN_ROWS, FEATURES), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, classifier = shared.value
+        of = Features(model)
+        for batch in batches:
+            scores = _scores(of, classifier, batch.column(names.index("text")).to_pylist())
+            yield batch.filter(pa.array([s < at for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES) -> DataFrame:
     """Per row of docs (doc_id, text): held_out, score (0 to 1) and predicted.
 
     Learns from labels (doc_id, toxic) of rows that are not held out; a score depends on the text only. Null and
     empty texts have the score of a text without features. Repeated rows come back repeated, an empty table empty."""
-    model = character_model(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((model, fit(docs, labels, model, rows, features)))
+    shared = _learnt(docs, labels, rows, features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, classifier = shared.value
         of = Features(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                scores = [classifier.score(x) for x in of.of_texts(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            scores = _scores(of, classifier, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCORED)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= PREDICTED_AT).cast("int").alias("predicted"))
