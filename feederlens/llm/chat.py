@@ -11,9 +11,18 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+_KINDS = {"long": pa.int64(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = pa.schema([(n, _KINDS[k]) for n, k in (x.split() for x in schema.split(", "))])
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+
 START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "conv_id long, turn long, role string, text string"
 
@@ -77,43 +86,40 @@ def canonical_turns(records: DataFrame) -> DataFrame:
     """Turns of records (conv_id, record as JSON). Records that hold one turn give its number in "turn";
     others number theirs from 0. Null or broken JSON and unknown layouts give no turn."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = []
-            for conv, text in zip(frame["conv_id"], frame["record"], strict=True):
+            for conv, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     record = json.loads(text or "null")
                 except ValueError:
                     continue
-                made = turns_of(record, fingerprint(paths(record)))
-                number = record.get("turn") if made and isinstance(record.get("turn"), int) else None
-                single = made and "turn" in MAPPINGS.get(fingerprint(paths(record)), {})
+                found = fingerprint(paths(record))
+                made = turns_of(record, found)
+                single = made and "turn" in MAPPINGS[found]
                 for i, (role, said) in enumerate(made or ()):
-                    out.append((None if pd.isna(conv) else int(conv), number if single else i, role, said))
-            yield pd.DataFrame({
-                "conv_id": pd.array([x[0] for x in out], "Int64"), "turn": pd.array([x[1] for x in out], "Int64"),
-                "role": [x[2] for x in out], "text": [x[3] for x in out],
-            })
+                    out.append((conv, record["turn"] if single else i, role, said))
+            yield _batch(out, TURNS)
 
-    return records.select("conv_id", "record").mapInPandas(run, TURNS)
+    return records.select(F.col("conv_id").cast("long"), "record").mapInArrow(run, TURNS)
 
 
 def unmapped(records: DataFrame) -> DataFrame:
     """How many records have a layout that no mapping knows: fingerprint, paths, records."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = []
-            for text in frame["record"]:
+            for text in batch.column(0).to_pylist():
                 try:
                     found = paths(json.loads(text or "null"))
                 except ValueError:
                     found = {"(no JSON)"}
                 if fingerprint(found) not in MAPPINGS:
                     out.append((fingerprint(found), " ".join(sorted(found))))
-            yield pd.DataFrame(out, columns=["fingerprint", "paths"])
+            yield _batch(out, "fingerprint string, paths string")
 
-    made = records.select("record").mapInPandas(run, "fingerprint string, paths string")
+    made = records.select("record").mapInArrow(run, "fingerprint string, paths string")
     return made.groupBy("fingerprint", "paths").agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -164,43 +170,32 @@ def format_chats(turns: DataFrame, learn: str = "assistant") -> DataFrame:
     null roles and texts are empty, rows without conv_id make one conversation. A conversation streams
     through its task in order; only its output is held, and nothing else of its group."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        done, now, parts, spans, size = [], None, [], [], 0
-
-        def closed() -> None:
-            if parts:
-                done.append((now[1], "".join(parts), spans))
-
-        def batch() -> pd.DataFrame:
-            return pd.DataFrame({
-                "conv_id": pd.array([x[0] for x in done], "Int64"),
-                "formatted": [x[1] for x in done], "loss_spans": [x[2] for x in done],
-            })
-
-        for frame in frames:
-            for conv, role, text in zip(frame["conv_id"], frame["role"], frame["text"], strict=True):
-                key = (pd.isna(conv), None if pd.isna(conv) else int(conv))
-                if key != now:
-                    closed()
-                    now, parts, spans, size = key, [], [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, begun, now, parts, spans, size = [], False, None, [], [], 0
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
+            for conv, role, text in zip(*columns, strict=True):
+                if conv != now or not begun:
+                    if begun:
+                        done.append((now, "".join(parts), spans))
+                    begun, now, parts, spans, size = True, conv, [], [], 0
                 made, a, b = format_turn(role, text)
                 if role == learn and b > a:
                     spans += [size + a, size + b]
                 parts.append(made)
                 size += len(made)
             if done:
-                yield batch()
+                yield _batch(done, FORMATTED)
                 done = []
-        closed()
-        if done:
-            yield batch()
+        if begun:
+            yield _batch([(now, "".join(parts), spans)], FORMATTED)
 
     empty = F.lit("")
     rows = turns.select(
-        "conv_id", "turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")
+        F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")
     )
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInPandas(run, FORMATTED)
+    return ordered.mapInArrow(run, FORMATTED)
 
 
 DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
@@ -210,20 +205,17 @@ DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 def digest(formatted: DataFrame) -> DataFrame:
     """What reading the formatted conversations back gives."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = []
-            for text, spans in zip(frame["formatted"], frame["loss_spans"], strict=True):
+            for conv, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 turns = read_back(text)
                 said = "".join(f"{r}\n{t}\n" for r, t in turns)
                 loss = "".join(unescape(text[a:b]) for a, b in zip(spans[::2], spans[1::2], strict=True))
-                out.append((len(turns), _sha(said), len(loss), _sha(loss), len(text)))
-            made = pd.DataFrame(out, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            made.insert(0, "conv_id", frame["conv_id"].astype("Int64").to_numpy(dtype=object, na_value=None) if len(out) else [])
-            made["conv_id"] = pd.array(list(made["conv_id"]), "Int64")
-            yield made
+                out.append((conv, len(turns), _sha(said), len(loss), _sha(loss), len(text)))
+            yield _batch(out, DIGEST)
 
-    return formatted.mapInPandas(run, DIGEST)
+    return formatted.mapInArrow(run, DIGEST)
 
 
 def _sha(text: str) -> str:

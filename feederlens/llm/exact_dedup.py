@@ -47,7 +47,7 @@ def normalised(text: str | None) -> bytes:
 MARKS = "doc_id long, n_chars long, n_bytes long, fingerprint string, text_sha256 string"
 
 
-def fingerprints(docs: DataFrame, size: int = CHUNK) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = CHUNK, mark=polynomial) -> DataFrame:
     """doc_id, code points, bytes of the normalised text, its fingerprint and its SHA-256, one per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             marks = []
             for text in texts:
                 body = normalised(text)
-                n, value = polynomial(body, size)
+                n, value = mark(body, size)
                 marks.append((len(text or ""), n, f"{value:032x}", hashlib.sha256(body).hexdigest()))
             columns = [batch.column(0), *(pa.array(c) for c in zip(*marks, strict=True))] if marks else [pa.array([])] * 5
             yield pa.RecordBatch.from_arrays(
@@ -67,50 +67,47 @@ def fingerprints(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, MARKS)
 
 
-PIECES = "doc_id long, n_chars long, n_bytes long, fingerprint string, chunk long, body binary"
+PIECES = "n_bytes long, fingerprint string, text_sha256 string, chunk long, body binary"
 
 
-def _pieces(docs: DataFrame, size: int) -> DataFrame:
+def _pieces(docs: DataFrame, size: int, mark) -> DataFrame:
     """Chunks of the normalised texts under their fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-        names = ["doc_id", "n_chars", "n_bytes", "fingerprint", "chunk", "body"]
+        types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+        names = ["n_bytes", "fingerprint", "text_sha256", "chunk", "body"]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, out = batch.slice(at, 500), []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for text in part.column(0).to_pylist():
                     body = normalised(text)
-                    n, value = polynomial(body, size)
-                    out += [(doc, len(text or ""), n, f"{value:032x}", i, c) for i, c in enumerate(chunks(body, size))]
+                    n, value = mark(body, size)
+                    name = hashlib.sha256(body).hexdigest()
+                    out += [(n, f"{value:032x}", name, i, c) for i, c in enumerate(chunks(body, size))]
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names
                     )
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    return docs.select("text").mapInArrow(run, PIECES)
 
 
-def exact_groups(docs: DataFrame, size: int = CHUNK) -> DataFrame:
+def exact_groups(docs: DataFrame, size: int = CHUNK, mark=polynomial) -> DataFrame:
     """Per row of docs (doc_id, text): keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are identical without ASCII white space; a null text is empty. The row with the
     most code points stays, then the one with the smallest doc_id; of wholly tied rows (repeated rows) all
     carry kept = true if their doc_id stays, so doc_id is what is kept or dropped. A null doc_id stays only
     if it has the most code points. An empty table gives an empty one."""
-    marks = staged(fingerprints(docs, size), "fingerprints")
+    marks = staged(fingerprints(docs, size, mark), "fingerprints")
     key = ["n_bytes", "fingerprint"]
     shared = marks.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
     twins = join_unique(marks, shared, key, spread("doc_id", "n_chars"), "left_semi").select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     asked = texts.join(twins.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(twins["doc_id"]), "left_semi")
-    bodies = _pieces(asked, size)
-    # Chunk contents of a fingerprint, each with the smallest doc_id as its class. Equal texts have equal
-    # lists of classes; after a collision of fingerprints the lists differ.
-    classes = bodies.groupBy(*key, "chunk", "body").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("class")
-    )
-    kinds = classes.groupBy(*key, "chunk").agg(F.count(F.lit(1)).alias("kinds")).groupBy(*key).agg(
+    bodies = _pieces(asked, size, mark)
+    contents = bodies.groupBy(*key, "chunk", "body").agg(F.count(F.lit(1)).alias("rows"))
+    kinds = contents.groupBy(*key, "chunk").agg(F.count(F.lit(1)).alias("kinds")).groupBy(*key).agg(
         F.max("kinds").alias("kinds")
     )
     clashing = staged(kinds.where("kinds > 1").select(*key), "clashing")
@@ -129,17 +126,19 @@ def exact_groups(docs: DataFrame, size: int = CHUNK) -> DataFrame:
 
 
 def _split_collisions(marks: DataFrame, bodies: DataFrame, clashing: DataFrame, key: list[str]) -> DataFrame:
-    """Marks with a column part that tells apart different texts of one fingerprint: the list of the classes
-    of their chunks, in order. A document's own chunks are all that is ever gathered."""
-    some = bodies.join(clashing, key, "left_semi")
-    classes = some.groupBy(*key, "chunk", "body").agg(F.min("doc_id").alias("class"))
+    """Marks with a column part that tells apart different texts of one fingerprint. Equal chunks have one class, the
+    smallest digest of a text that holds the chunk there; a text's part is the list of its classes in order. A text's
+    own chunks are all that is ever gathered."""
+    some = bodies.join(clashing, key, "left_semi").distinct()
+    classes = some.groupBy(*key, "chunk", "body").agg(F.min("text_sha256").alias("class"))
     listed = (
         some.join(classes, [*key, "chunk", "body"])
-        .groupBy(*key, "doc_id", "n_chars")
+        .groupBy(*key, "text_sha256")
         .agg(F.array_sort(F.collect_set(F.struct("chunk", "class"))).alias("classes"))
-        .select(*key, "doc_id", "n_chars", F.to_json("classes").alias("part"))
+        .select(*key, "text_sha256", F.to_json("classes").alias("part"))
     )
-    return marks.join(listed, [*key, "doc_id", "n_chars"], "left").withColumn("part", F.coalesce("part", F.lit("")))
+    met = join_unique(marks, listed, [*key, "text_sha256"], spread("doc_id", "n_chars"), "left")
+    return met.withColumn("part", F.coalesce("part", F.lit("")))
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
