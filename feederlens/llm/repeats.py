@@ -220,19 +220,17 @@ def _arrays(slices: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("key", "sub", "windows", "body"))
             for row in zip(*columns, strict=True):
-                if row[:2] == last:
-                    continue  # repeated rows give a text more than once
-                if size > ARRAY_BYTES and row[0] != last[0]:
+                if size > ARRAY_BYTES and row[0] != last:
                     yield done()
                     held, size = [], 0
                 held.append(row)
                 size += len(row[3])
-                last = row[:2]
+                last = row[0]
         if held:
             yield done()
 
     rows = slices.select("key", "sub", "windows", "body")
-    return rows.repartition("key").sortWithinPartitions("key", "sub").mapInArrow(run, SPANS)
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPANS)
 
 
 def spans(hit: np.ndarray) -> list[int]:
@@ -270,13 +268,13 @@ def _resolve(slices: DataFrame, length: int, gram: int, levels: int = 1) -> Data
     kinds = texts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max("several").alias("rich"))
     often = texts.where("rows > 1").select("key", "sub", F.array(F.lit(0).cast("long"), "windows").alias("spans"))
     open_ = staged(
-        join_unique(slices, kinds.where("kinds > 1 OR rich"), ["key"], spread("sub", "run")), "open"
+        join_unique(slices, kinds.where("kinds > 1 OR rich"), ["key"], spread("sub", "run")).dropDuplicates(["key", "sub"]), "open"
     )
     parts = [often, _arrays(open_.where(f"kinds <= {PER_KEY}"), length)]
     many = open_.where(f"kinds > {PER_KEY}").drop("kinds", "rich")
     if not many.isEmpty():
         if levels:
-            blocks = staged(_finer(many.dropDuplicates(["key", "sub"]), length, gram), "blocks")
+            blocks = staged(_finer(many, length, gram), "blocks")
             found = staged(_resolve(blocks, length, gram, levels - 1), "blocks-found")
             back = join_unique(
                 blocks.select("key", "sub", "class", "run", "lo"), found, ["key", "sub"], spread("class", "run")
