@@ -25,7 +25,7 @@ RUN = 2048
 #: Different runs of a key that one suffix array takes; keys with more are cut finer.
 PER_KEY = 64
 #: Windows of a block, into which the runs of large classes are cut.
-BLOCK = 16
+BLOCK = 32
 #: Bytes of the texts of one suffix array; a task works on one array after another.
 ARRAY_BYTES = 400_000
 
