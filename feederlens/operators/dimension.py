@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feederlens.functions.numbers import ratio
 
-# A broadcast dimension row costs about 60 bytes in the hash table: a million rows are safe.
-BROADCAST_ROWS = 1_000_000
+#: Readings of one point meet a keyed table in so many tasks, should the join be shuffled.
+SALTS = 8
 
 
 def typed_dimension(raw: DataFrame) -> DataFrame:
@@ -38,23 +38,18 @@ def clean_dimension(dimension: DataFrame, order: Column | None = None) -> DataFr
     return rows.groupBy("mp_id").agg(last).select("mp_id", "last.ratio", "last.capacity")
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most so many rows; reads no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
+def salted_lookup(readings: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """Joins readings to a table with one row per ``mp_id``; its rows are repeated for all salts.
 
+    Spark chooses the form of the join by its own sizes. If it shuffles, the readings of a point
+    with very many of them are spread by their values, and what follows has to exchange them anew.
+    """
+    salt = F.pmod(F.hash(*readings.columns), F.lit(SALTS))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return readings.withColumn("_salt", salt).join(copies, ["mp_id", "_salt"], how).drop("_salt")
 
-def attach_dimension(
-    readings: DataFrame, dimension: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Readings of points with a ratio, with ``ratio`` and ``capacity``.
 
-    A dimension whose counted size is within the bound is broadcast, so the readings are not
-    shuffled. Beyond it the plan is a shuffled join, where AQE splits the partitions of points with
-    very many readings.
-    """
+def attach_dimension(readings: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Readings of points with a ratio, with ``ratio`` and ``capacity``."""
     usable = dimension.where(F.col("ratio") != 0)
-    if broadcast_rows and is_small(usable, broadcast_rows):
-        usable = F.broadcast(usable)
-    return readings.join(usable, "mp_id", "inner").select(
-        *readings.columns, "ratio", "capacity"
-    )
+    return salted_lookup(readings, usable).select(*readings.columns, "ratio", "capacity")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from feederlens.operators.dimension import salted_lookup
 from feederlens.schema import DURATIONS, STARTS, STATUS_COLUMNS
 from feederlens.settings import LATE, NO_OVERLOAD, NORMAL, UNUSABLE
 
@@ -56,6 +57,6 @@ def with_sentinel_times(rows: DataFrame) -> DataFrame:
 def split_late(readings: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readings after the stored time of their point, and those at or before it."""
     seen = state.select("mp_id", F.col("time").alias("seen_until"))
-    joined = readings.join(seen, "mp_id", "left")
+    joined = salted_lookup(readings, seen, "left").select(*readings.columns, "seen_until")
     late = F.coalesce(F.col("time") <= F.col("seen_until"), F.lit(False))
     return joined.where(~late).drop("seen_until"), joined.where(late).drop("seen_until")

@@ -1,12 +1,14 @@
-"""Result tables, partitioned by day (``dt``, yyyyMMdd) and by the batch that wrote them.
+"""Result tables, partitioned by the batch that wrote them and by day (``dt``, yyyyMMdd).
 
-Writing a batch again replaces what it wrote before, so a repeated micro-batch leaves no copies.
+A batch is replaced as a whole: writing it again leaves nothing of what it wrote before, days that
+have no rows any more included.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -16,6 +18,7 @@ from feederlens.schema import (
     EPISODE_COLUMNS, MARK_COLUMNS, PRIMARY_COLUMNS, SECONDARY_COLUMNS, STATUS_COLUMNS, table_schema,
 )
 from feederlens.settings import Limits
+from feederlens.sources.storage import exists
 
 # Table name -> (columns, column that gives the day).
 TABLES = {
@@ -42,35 +45,37 @@ class DayTables:
             fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table_schema(columns))
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {database}.{name} "
-                f"({fields}, dt string, batch bigint) USING parquet "
-                f"PARTITIONED BY (dt, batch) LOCATION '{self.path(name)}'"
+                f"({fields}, batch bigint, dt string) USING parquet "
+                f"PARTITIONED BY (batch, dt) LOCATION '{self.path(name)}'"
             )
 
+    def register(self, spark: SparkSession, database: str) -> None:
+        """Makes what was written since the last time visible in the catalog tables."""
+        for name in filter(lambda n: exists(spark, self.path(n)), TABLES):
+            spark.sql(f"MSCK REPAIR TABLE {database}.{name} SYNC PARTITIONS")
+
     def write(self, name: str, rows: DataFrame, batch: int) -> None:
         columns, day = TABLES[name]
         (
-            rows.select(
-                *columns, day_text(F.col(day)).alias("dt"),
-                F.lit(batch).cast("bigint").alias("batch"),
-            )
+            rows.select(*columns, day_text(F.col(day)).alias("dt"))
             # Even file sizes per day: AQE splits big days and merges small ones. Sorting makes the
             # row groups selective for a measuring point.
             .hint("rebalance", "dt")
-            .sortWithinPartitions("dt", "batch", "mp_id", day)
+            .sortWithinPartitions("dt", "mp_id", day)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt", "batch")
-            .parquet(self.path(name))
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("dt")
+            .parquet(f"{self.path(name)}/batch={batch}")
         )
 
     def read(
         self, spark: SparkSession, name: str, days: Sequence[str] | None = None
     ) -> DataFrame:
-        """A table, or only some days of it; other days are not even listed as files to scan."""
+        """A table, or only some days of it; the files of other days are listed, but not read."""
         columns, _ = TABLES[name]
         schema = T.StructType(
             table_schema(columns).fields
-            + [T.StructField("dt", T.StringType()), T.StructField("batch", T.LongType())]
+            + [T.StructField("batch", T.LongType()), T.StructField("dt", T.StringType())]
         )
         rows = spark.read.schema(schema).parquet(self.path(name))
         if days is not None:
@@ -83,8 +88,9 @@ class DayTables:
         A confirmation comes at most gap plus confirmation time after the row it changes, so it
         can start on the day before; its start is never after the row.
         """
-        marks = self.read(spark, "marks")
-        if days is not None:
-            first = F.date_sub(F.to_date(F.lit(min(days)), "yyyyMMdd"), 1)
-            marks = marks.where(F.col("start") >= first)
+        if days is None:
+            marks = self.read(spark, "marks")
+        else:
+            before = [(datetime.strptime(d, "%Y%m%d") - timedelta(days=1)).strftime("%Y%m%d") for d in days]
+            marks = self.read(spark, "marks", sorted({*days, *before}))
         return apply_marks(self.read(spark, "status", days), marks, self.limits)

@@ -21,7 +21,7 @@ from feederlens.operators.power import primary_readings, stored_readings
 from feederlens.operators.runs import track
 from feederlens.settings import Limits
 from feederlens.sources.daytables import DayTables
-from feederlens.sources.storage import exists, read_text, shared_folder, write_text
+from feederlens.sources.storage import exists, read_text, write_text
 from feederlens.streaming.interval import trigger_interval
 from feederlens.streaming.state import StateStore
 
@@ -119,9 +119,9 @@ class LoadJob:
     ) -> StreamingQuery:
         """Starts the stream. Without an interval it handles what is there and ends.
 
-        The source position is committed after ``process`` returns, that is, after all outputs.
+        The checkpoint belongs to the root, so jobs with other roots have their own. The source position is committed after ``process`` returns, that is, after all outputs.
         """
-        folder = checkpoint or f"{shared_folder(lines.sparkSession, self.root)}/{name}"
+        folder = checkpoint or f"{self.root}/checkpoints/{name}"
         writer = (
             lines.writeStream.queryName(name)
             .option("checkpointLocation", folder)

@@ -5,10 +5,12 @@ import tempfile
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from feederlens.plans import jobs
 from feederlens.sources import files
-from feederlens.sources.daytables import DayTables
+from feederlens.schema import table_schema
+from feederlens.sources.daytables import TABLES, DayTables
 from feederlens.streaming.interval import trigger_interval
 from feederlens.streaming.job import LoadJob, batch_durations
 from feederlens.streaming.stopping import run_until_marker
@@ -154,6 +156,18 @@ def test_tables_in_catalog(spark):
     tables.create(spark, "loads_test")
     names = {r["tableName"] for r in spark.sql("SHOW TABLES IN loads_test").collect()}
     assert names == {"secondary", "primary", "status", "episodes", "marks"}
+    days = spark.range(30).selectExpr(
+        "id AS mp_id", "timestamp_ntz '2024-01-01' + make_dt_interval(cast(id AS int)) AS start", "1 AS n")
+    columns, _ = TABLES["marks"]
+    rows = days.select(*[F.col(c) if c in days.columns else F.lit(None).cast(f.dataType).alias(c)
+                         for c, f in zip(columns, table_schema(columns).fields)])
+    tables.write("marks", rows, 0)
+    tables.write("marks", rows.where("mp_id > 10"), 1)
+    tables.write("marks", rows.where("mp_id < 4"), 0)  # a repeated batch replaces all its days
+    assert tables.read(spark, "marks").count() == 4 + 19
+    assert tables.read(spark, "marks", ["20240102", "20240112"]).count() == 2
+    tables.register(spark, "loads_test")
+    assert spark.table("loads_test.marks").count() == 23
     spark.sql("DROP DATABASE loads_test CASCADE")
 
 
