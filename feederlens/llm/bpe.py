@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 import tempfile
 from collections import Counter
@@ -94,15 +93,11 @@ class Transducer:
 
     @classmethod
     def mapped(cls, data: bytes) -> Transducer:
-        """The automaton from a file in the worker's own temporary folder, mapped into memory; workers of one
-        machine share the file and so its pages."""
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}")
-        if not os.path.exists(path):
-            handle, part = tempfile.mkstemp(dir=tempfile.gettempdir())
-            with os.fdopen(handle, "wb") as f:
-                f.write(data)
-            os.replace(part, path)
-        whole = np.memmap(path, np.uint8, "r")
+        """The automaton from a file mapped into memory; the file has no name, so it goes with the worker."""
+        with tempfile.TemporaryFile() as file:
+            file.write(data)
+            file.flush()
+            whole = np.memmap(file, np.uint8, "r")
         size = int.from_bytes(bytes(whole[:8]), "little")
         at, arrays = 8 + size, {}
         for name, kind, n in json.loads(bytes(whole[8 : 8 + size])):
