@@ -112,21 +112,27 @@ class Model:
         self.seen = np.zeros((tables, 1 << TABLE_BITS), np.uint8)
         self.weights = np.full((tables, SEEN_KINDS), 0.4)
 
-    def known(self, token: bytes) -> tuple[int, int]:
-        """Place among the known tokens (the number of these: none), and the token's hash."""
-        value = token_hash(token)
-        at = int(np.searchsorted(self.hashes, value))
-        return (at if at < len(self.hashes) and self.hashes[at] == value else len(self.hashes)), value
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of tokens, given by hash, among the known ones (the number of these: none)."""
+        none = len(self.hashes)
+        at = np.searchsorted(self.hashes, hashes)
+        found = np.append(self.hashes, 0)[at] == hashes
+        return np.where((at < none) & found, at, none)
 
     def set_counts(self, zeros: np.ndarray, ones: np.ndarray) -> None:
-        self.stretch = np.log((ones + 0.3) / (zeros + 0.3)).astype(np.float32)
-        self.seen = seen_kind(zeros + ones)
+        for table, (z, o) in enumerate(zip(zeros, ones, strict=True)):
+            self.stretch[table] = np.log((o + 0.3) / (z + 0.3))
+            self.seen[table] = seen_kind(z + o)
 
 
 def seen_kind(n: np.ndarray) -> np.ndarray:
     return np.minimum(SEEN_KINDS - 1, np.frexp(n.astype(np.float32))[1]).astype(np.uint8)
 
 
+#: Logarithms of small counts, and kinds of all counts below the last kind's.
+_LOGS = np.log(np.arange(1 << 15) + 0.3).astype(np.float32)
+_KINDS = seen_kind(np.arange(1 << SEEN_KINDS))
+
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -196,7 +202,7 @@ class Learner:
     def __init__(self, model: Model):
         self.model, self.weights, self.steps = model, model.weights.copy(), 0
         tables = WORD_CONTEXTS + BYTE_CONTEXTS
-        self.counts = np.zeros((tables, 2, 1 << TABLE_BITS), np.int32)
+        self.counts = np.zeros((tables, 1 << TABLE_BITS, 2), np.int32)
 
     def learn(self, bits: Bits) -> None:
         for bit, slots, table, *_ in bits.parts:
@@ -206,18 +212,20 @@ class Learner:
     def _step(self, bit: np.ndarray, slots: list[np.ndarray], table: int) -> None:
         stretch, kinds = [], []
         for j, at in enumerate(slots):
-            zeros, ones = self.counts[table + j, 0][at], self.counts[table + j, 1][at]
-            stretch.append(np.log((ones + 0.3) / (zeros + 0.3)))
-            kinds.append(seen_kind(zeros + ones))
+            seen = np.take(self.counts[table + j], at, axis=0)
+            small = np.minimum(seen, len(_LOGS) - 1)
+            logs = _LOGS[small]
+            if (large := np.flatnonzero(small[:, 0] + small[:, 1] >= len(_LOGS) - 1)).size:
+                logs[large] = np.log(seen[large] + np.float32(0.3))
+            stretch.append(logs[:, 1] - logs[:, 0])
+            kinds.append(_KINDS[np.minimum(seen[:, 0] + seen[:, 1], len(_KINDS) - 1)])
         off = bit - 1 / (1 + np.exp(-np.clip(_mixed(self.weights, stretch, kinds, table), -30, 30)))
         for j, (s, k) in enumerate(zip(stretch, kinds, strict=True)):
             slope = np.bincount(k, off * s, SEEN_KINDS) / (np.bincount(k, s * s, SEEN_KINDS) + 100)
             self.weights[table + j] += LEARNING_RATE * 10 * slope / (1 + self.steps / 200) ** 0.5
         self.steps += 1
-        one = bit == 1
         for j, at in enumerate(slots):
-            np.add.at(self.counts[table + j, 1], at[one], 1)
-            np.add.at(self.counts[table + j, 0], at[~one], 1)
+            np.add.at(self.counts[table + j].reshape(-1), 2 * at + bit, np.int32(1))
 
 
 def log_probabilities(model: Model, bits: Bits, texts: int) -> np.ndarray:
@@ -295,13 +303,14 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
 class _Reader:
     """Words of texts and their places among the known tokens."""
 
-    def __init__(self, model: Model, size: int = 400_000):
+    def __init__(self, model: Model, size: int = 200_000):
         self.model, self.memory = model, Remembered(size)
 
     def read(self, texts: list[str | None]) -> tuple[list[list[bytes]], list[list[int]]]:
         rows = [words(t) for t in texts]
-        for token in self.memory.missing(rows):
-            self.memory.new[token] = self.model.known(token)
+        missing = list(self.memory.missing(rows))
+        hashes = np.array([token_hash(x) for x in missing], np.int64)
+        self.memory.new.update(zip(missing, zip(self.model.places(hashes).tolist(), hashes.tolist(), strict=True), strict=True))
         known = self.memory.new
         return rows, [[known[w][0] for w in row] for row in rows]
 
@@ -341,7 +350,7 @@ def learn(docs: DataFrame, model: Model) -> None:
                 [pa.array([-1], pa.int32()), pa.array([0], pa.int32()), pa.array([body.astype("<f8").tobytes()])], ["table", "block", "body"]
             )
         for t in range(tables):
-            found = [(k, learner.counts[t][:, k * BLOCK : (k + 1) * BLOCK]) for k in range(blocks)]
+            found = [(k, learner.counts[t][k * BLOCK : (k + 1) * BLOCK]) for k in range(blocks)]
             found = [(k, x.astype("<i4").tobytes()) for k, x in found if x.any()]
             if found:
                 yield pa.RecordBatch.from_arrays([
@@ -369,14 +378,14 @@ def learn(docs: DataFrame, model: Model) -> None:
 
     parts = docs.where(~held_out(of=10, rest=0)).select("text").coalesce(2 * spark.sparkContext.defaultParallelism)
     sums = parts.mapInArrow(run, LEARNT).repartition("table", "block").sortWithinPartitions("table", "block").mapInArrow(add, LEARNT)
-    counts = np.zeros((tables, 2, 1 << TABLE_BITS), np.float32)
+    counts = np.zeros((tables, 1 << TABLE_BITS, 2), np.float32)
     for r in sums.toLocalIterator():  # tables of a fixed size
         body = np.frombuffer(r["body"], "<f8")
         if r["table"] < 0:
             model.weights = (body[1:] / body[0]).reshape(tables, SEEN_KINDS)
         else:
-            counts[r["table"]][:, r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = body.reshape(2, BLOCK)
-    model.set_counts(counts[:, 0], counts[:, 1])
+            counts[r["table"]][r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = body.reshape(BLOCK, 2)
+    model.set_counts(counts[..., 0], counts[..., 1])
 
 
 def fit(docs: DataFrame, counts: DataFrame) -> Model:
@@ -387,7 +396,7 @@ def fit(docs: DataFrame, counts: DataFrame) -> Model:
         top["token"].to_numpy(np.int64), top["n_train"].to_numpy(np.int64), int(sums["total"] or 0), int(sums["distinct"]),
         byte_counts(docs),
     )
-    model.end_place = model.known(END_TOKEN)[0]
+    model.end_place = int(model.places(np.array([token_hash(END_TOKEN)]))[0])
     learn(docs, model)
     return model
 
