@@ -24,7 +24,7 @@ from feederlens.llm.common import staged, words
 from feederlens.llm.merges import Remembered
 from feederlens.llm.toxicity import held_out
 
-#: The most frequent tokens (of all texts), which tasks get with their counts; rarer ones are joined.
+#: The most frequent tokens (of all texts), at most, which tasks get with their counts; rarer ones are joined.
 KNOWN = 1 << 18
 #: Tokens with a code of their own, the most frequent ones among the training texts.
 VOCABULARY = 1 << 17
@@ -388,14 +388,27 @@ def learn(docs: DataFrame, model: Model) -> None:
     model.set_counts(counts[..., 0], counts[..., 1])
 
 
+def known_tokens(counts: DataFrame, most: int = KNOWN) -> DataFrame:
+    """The most frequent tokens, at most so many, and the end. Tokens are taken by classes of like frequency, 16 for
+    each doubling, so no task and not the driver has to merge the top of every partition."""
+    kind = F.floor(F.log2("n") * 16)
+    least, total = None, 0
+    for row in counts.groupBy(kind.alias("kind")).count().orderBy(F.desc("kind")).collect():  # at most 1,024 classes
+        total += row["count"]
+        if total > most:
+            break
+        least = row["kind"]
+    chosen = F.col("token") == token_hash(END_TOKEN)
+    return counts.where(chosen if least is None else chosen | (kind >= least)).select("token", "n_train")
+
+
 def fit(docs: DataFrame, counts: DataFrame) -> Model:
     """A model from token counts and the texts that are not held out."""
     sums = counts.agg(F.sum("n_train").alias("total"), F.count(F.when(F.col("n_train") > 0, 1)).alias("distinct")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(KNOWN).toPandas().sort_values("token")
-    model = Model(
-        top["token"].to_numpy(np.int64), top["n_train"].to_numpy(np.int64), int(sums["total"] or 0), int(sums["distinct"]),
-        byte_counts(docs),
-    )
+    top = known_tokens(counts).toArrow()
+    hashes, n_train = (top.column(x).to_numpy().astype(np.int64) for x in ("token", "n_train"))
+    order = np.argsort(hashes)
+    model = Model(hashes[order], n_train[order], int(sums["total"] or 0), int(sums["distinct"]), byte_counts(docs))
     model.end_place = int(model.places(np.array([token_hash(END_TOKEN)]))[0])
     learn(docs, model)
     return model

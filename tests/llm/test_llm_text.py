@@ -194,6 +194,16 @@ def test_lm_base_scores_and_distribution(llm):
     assert lm_scoring.lm_scores(empty(llm)).count() == 0
 
 
+def test_lm_known_tokens(llm):
+    end = lm_scoring.token_hash(lm_scoring.END_TOKEN)
+    counted = [(i, n, n - 1) for i, n in enumerate([50, 20, 20, 7, 7, 7, 1, 1])] + [(end, 1, 1)]
+    counts = llm.createDataFrame(counted, "token long, n long, n_train long")
+    known = lambda most: {r.token for r in lm_scoring.known_tokens(counts, most).collect()}
+    assert known(9) == {*range(8), end}
+    assert known(5) == known(3) == {0, 1, 2, end}  # ties are taken together or not at all
+    assert known(0) == {end}
+
+
 def test_lm_probabilities_sum_to_one():
     """All texts of one word, from the vocabulary or spelled: with the escape's share they make one."""
     model = lm_scoring.Model(np.array([3, 5, 9]), np.array([4, 2, 1]), 7, 3, np.ones(257))
