@@ -9,7 +9,8 @@ windows and the bytes that all windows of a block share, and at last by single w
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,10 @@ from feederlens.llm.suffix_sort import repeated_starts
 
 LENGTH = 400
 GRAM = 100
+#: Words of a passage that may not recur.
+PASSAGE = 51
+#: Characters of the code that stands for a word, of seven bits each.
+CODE = 6
 #: A run has at most so many windows.
 RUN = 2048
 #: Different runs of a key that one suffix array takes; keys with more are cut finer.
@@ -340,9 +345,12 @@ def _with_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     ).select("doc_id", "text", "spans")
 
 
-def _kept(text: str, spans_: list[int] | None, length: int) -> tuple[bytes, int, int, int]:
+def _kept(text: str, spans_: list[int] | None, length: int, more: Sequence[tuple[int, int]] = ()) -> tuple[bytes, int, int, int]:
     body = _raw(text)
     cut = covered(spans_ or [], length)
+    if more:
+        # A stretch of bytes is covered by windows of one byte.
+        cut = covered([x for pair in [*cut, *more] for x in pair], 1)
     edges = [0, *(x for pair in cut for x in pair), len(body)]
     kept = b"".join([body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
     return kept, len(body), len(body) - len(kept), len(cut)
@@ -372,23 +380,74 @@ def repeat_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     return _with_spans(docs, length, gram).mapInArrow(run, DIGEST)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
+
+
+class _Codes(dict):
+    """Codes of words, remembered up to a number of them."""
+
+    def __missing__(self, word: bytes) -> str:
+        import xxhash
+
+        if len(self) > 500_000:
+            self.clear()
+        value = xxhash.xxh3_64_intdigest(word)
+        self[word] = made = "".join([chr(value >> 7 * i & 127) for i in range(CODE)])
+        return made
+
+
+def passage_spans(text: str, spans_: list[int], passage: int) -> list[tuple[int, int]]:
+    """Bytes of the passages of a text whose windows in coded words are spans_. Only windows that begin with a word count."""
+    words = [m.span() for m in _WORD.finditer(_raw(text))]
+    out = []
+    for a, b in zip(spans_[::2], spans_[1::2], strict=True):
+        first, last = -(-a // CODE), (b - 1) // CODE
+        if first <= last:
+            out.append((words[first][0], words[last + passage - 1][1]))
+    return out
+
+
+def repeated_passages(docs: DataFrame, passage: int = PASSAGE, gram: int | None = None) -> DataFrame:
+    """Per text that has any (named by m1, m2): spans of its repeated windows of so many words, in coded words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Codes()
+        for batch in batches:
+            codes = pa.array(["".join([known[w] for w in _raw(t).split()]) for t in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), codes, batch.column(2), batch.column(3)], ["doc_id", "text", "o1", "o2"])
+
+    marked = _marked(docs).withColumnsRenamed({"m1": "o1", "m2": "o2"})
+    codes = staged(marked.mapInArrow(run, "doc_id long, text string, o1 long, o2 long"), "codes")
+    found = repeated_windows(codes.select("doc_id", "text"), passage * CODE, gram or passage * CODE // 4)
+    names = codes.select("o1", "o2", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2")).distinct()
+    met = join_unique(names, found, ["m1", "m2"], spread("o1"))
+    return met.select(F.col("o1").alias("m1"), F.col("o2").alias("m2"), "spans")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, passage: int | None = None) -> DataFrame:
     """The rows of docs, with all their columns, less the repeated bytes of their texts; bytes of characters that a
-    cut has split go too. A null text becomes empty."""
+    cut has split go too. A null text becomes empty. With ``passage``, strings of so many whole words that recur, whatever
+    their blanks, go as well, however few bytes they have."""
     found = staged(repeated_windows(docs, length, gram), "spans")
+    found = found.withColumn("passages", F.lit(None).cast("array<long>"))
+    if passage:
+        more = repeated_passages(docs, passage).withColumnRenamed("spans", "passages")
+        found = found.drop("passages").join(staged(more, "passages").hint("shuffle_hash"), ["m1", "m2"], "full")
     text, names = F.coalesce("text", F.lit("")), docs.columns
     marks = {"_repeat_m1": F.xxhash64(text), "_repeat_m2": F.xxhash64(F.lit(1), text)}
     met = join_unique(
-        docs.withColumns(marks), found.withColumnsRenamed({"m1": "_repeat_m1", "m2": "_repeat_m2", "spans": "_repeat_spans"}).hint("shuffle_hash"),
+        docs.withColumns(marks), found.withColumnsRenamed({
+            "m1": "_repeat_m1", "m2": "_repeat_m2", "spans": "_repeat_spans", "passages": "_repeat_passages"
+        }).hint("shuffle_hash"),
         list(marks), spread("doc_id"), "left",
-    ).select(*names, "_repeat_spans")
+    ).select(*names, "_repeat_spans", "_repeat_passages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = names.index("text")
             kept = [
-                _kept(text or "", found.as_py(), length)[0].decode("utf-8", "ignore")
-                for text, found in zip(batch.column(at).to_pylist(), batch.column(len(names)), strict=True)
+                _kept(text or "", found.as_py(), length, passage_spans(text or "", more.as_py() or [], passage or 0))[0].decode("utf-8", "ignore")
+                for text, found, more in zip(batch.column(at).to_pylist(), batch.column(len(names)), batch.column(len(names) + 1), strict=True)
             ]
             columns = [batch.column(i) for i in range(len(names))]
             columns[at] = pa.array(kept, pa.string())
