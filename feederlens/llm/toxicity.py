@@ -1,7 +1,7 @@
 """Toxicity of texts, scored after undoing obfuscation with a noisy-channel model.
 
 Spellings such as "1d!0t", "s t u p i d" or "looooser" are lattices of what each character may stand for: itself,
-the letter it imitates, a repetition or a separator to drop. A character language model of the whole corpus picks
+the letter it imitates, a repetition or a separator to drop, or the end of a word between spelled letters. A character language model of the whole corpus picks
 the best path (Viterbi). Words and word beginnings of the restored text are the features of a logistic model."""
 
 from __future__ import annotations
@@ -31,6 +31,10 @@ IMITATES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 COST_IMITATED, COST_DROPPED, COST_KEPT_SYMBOL, COST_REPEATED = 1.0, 2.5, 9.0, 0.7
+#: Between spelled letters: breaking words at a separator like the others, and at a wider one, and going on over a wider one.
+COST_BREAK, COST_WIDE_BREAK, COST_WIDE_JOIN = 1.0, 0.0, 2.0
+#: Words sought at every place of a spelled run, as any separator in it may end a word.
+SPELLED_WORD = range(4, 17)
 #: Letters with codes of their own in the character model; all others share one. Code 0 is the edge of a word.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
 OTHER = len(LETTERS) + 1
@@ -42,8 +46,16 @@ PIECE = 48
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _EDGES = ".,;:?!\"'()[]{}<>#%&*|-_=+/\\^~`"
 _DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
-_REPEATED = re.compile(r"(\w)\1\1")
-_SPELLED = re.compile(r"(?<!\S)\w(?:[ .\-_*]\w){3,}(?!\S)")
+_REPEATED = re.compile(r"([^\W\d_])\1")
+_SYMBOLS = "".join(c for c in IMITATES if not c.isalnum())
+#: Symbols at the edge of a token that stand for nothing.
+_PLAIN_EDGES = "".join(c for c in _EDGES if c not in IMITATES)
+_UNIT = rf"[^\W_{re.escape(_SYMBOLS)}]|[{re.escape(_SYMBOLS)}]"
+#: Four or more single letters, or what imitates them, between any blanks and symbols.
+_SPELLED = re.compile(rf"(?<!\w)(?:{_UNIT})(?:(?:(?!{_UNIT})[\W_])+(?:{_UNIT})){{3,}}(?!\w)")
+_SEPARATED = re.compile(rf"({_UNIT})((?:(?!{_UNIT}).)*)", re.DOTALL)
+#: Separators of spelled letters in a lattice: one as wide as the narrowest of its run, and a wider one.
+NARROW, WIDE = "\0", "\1"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -58,15 +70,35 @@ class CharacterModel:
         p3 = (c3 + 5 * p2) / (c3.sum(2, keepdims=True) + 5)
         self.log = np.log(p3).tolist()
 
-    def restore(self, text: str) -> str:
-        """The most likely letters behind an obfuscated spelling."""
-        return "".join(self._piece(text[i : i + PIECE]) for i in range(0, len(text), PIECE))
-
-    def _piece(self, text: str) -> str:
+    def restore(self, text: str, drops: bool = True) -> str:
+        """The most likely letters behind an obfuscated spelling; without drops, what may imitate a letter does."""
+        return "".join(self._piece(text[i : i + PIECE], drops) for i in range(0, len(text), PIECE))
+
+    def restore_spelled(self, run: str) -> set[str]:
+        """Words behind letters spelled one by one: those of the most likely path, and all that a path may hold."""
+        units = _SEPARATED.findall(run)
+        least = min(len(gap) for _, gap in units[:-1])
+        text = "".join(unit + (WIDE if len(gap) > least else NARROW) for unit, gap in units)[:-1]
+        broken = "".join(self._piece(text[i : i + 2 * PIECE], False) for i in range(0, len(text), 2 * PIECE))
+        words = set(_LETTERS.findall(broken))
+        for joined in {broken.replace(" ", ""), self.restore("".join(unit for unit, _ in units), False)}:
+            words.update(joined[i : i + n] for n in SPELLED_WORD for i in range(len(joined) - n + 1))
+            words.update(_LETTERS.findall(joined))
+        return words
+
+    def _piece(self, text: str, drops: bool) -> str:
         # A state is the last two letters; it keeps its best score and path.
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         before = ""
         for char in text:
+            if char in (NARROW, WIDE):
+                join, cut = (0.0, COST_BREAK) if char == NARROW else (COST_WIDE_JOIN, COST_WIDE_BREAK)
+                gone = {k: (score - join, path) for k, (score, path) in states.items()}
+                over = [(score + self.log[a][b][0] - cut, path + " ") for (a, b), (score, path) in states.items() if path and b]
+                if over and ((0, 0) not in gone or max(over)[0] > gone[0, 0][0]):
+                    gone[0, 0] = max(over)
+                states = gone
+                continue
             options = [(char, _CODE.get(char, OTHER), 0.0 if char.isalpha() else COST_KEPT_SYMBOL)]
             options += [(x, _CODE[x], COST_IMITATED) for x in IMITATES.get(char, "")]
             made: dict[tuple[int, int], tuple[float, str]] = {}
@@ -77,6 +109,8 @@ class CharacterModel:
                     if (b, code) not in made or total > made[b, code][0]:
                         made[b, code] = (total, path + letter)
                 drop = COST_REPEATED if char == before else None if char.isalpha() else COST_DROPPED
+                if char in IMITATES and not drops and char != before:
+                    drop = None
                 if drop is not None and path:
                     total = score - drop
                     if (a, b) not in made or total > made[a, b][0]:
@@ -127,13 +161,21 @@ class Features:
 
     def of_token(self, token: str) -> tuple[str, ...]:
         core = token.strip(_EDGES)
-        if core.isalpha() and not _REPEATED.search(core):
-            words = [core]
+        whole = token.strip(_PLAIN_EDGES)
+        if whole.isalpha() and not _REPEATED.search(whole):
+            words = [whole]
         else:
             core = _DECORATION.sub("", core).strip(_EDGES)
             words = _LETTERS.findall(core)
-            if words and (len(words) > 1 or len(words[0]) < len(core) or _REPEATED.search(core)):
-                words += _LETTERS.findall(self.model.restore(core))
+            # Symbols at an edge are punctuation or letters; numbers are numbers.
+            left = _DECORATION.sub("", whole).strip(_PLAIN_EDGES)
+            forms = [core, left.rstrip(_EDGES), left.lstrip(_EDGES), left]
+            if words or (len(left) > 2 and not left.isdigit() and all(c in IMITATES for c in left)):
+                for text in dict.fromkeys(forms):
+                    if text and (not text.isalpha() or _REPEATED.search(text)):
+                        words += _LETTERS.findall(self.model.restore(text))
+                        if not text.isalpha():
+                            words += _LETTERS.findall(self.model.restore(text, False))
         found = []
         for word in dict.fromkeys(words):
             found += [word, "^" + word[:4], "^" + word[:5]]
@@ -145,7 +187,8 @@ class Features:
         for text in texts:
             low = (text or "").lower()
             rows.append(list(set(low.split())))
-            spelled.append([re.sub(r"[ .\-_*]", "", x) for x in _SPELLED.findall(low)])
+            runs = [m.group() for m in _SPELLED.finditer(low)]
+            spelled.append([x for x in runs if any(c.isalpha() or c in _SYMBOLS for c in x)])
         for token in self.known.missing(rows):
             self.known.new[token] = self.of_token(token)
         known, out = self.known.new, []
@@ -154,7 +197,7 @@ class Features:
             for token in row:
                 found.update(known[token])
             for letters in more:
-                for word in _LETTERS.findall(self.model.restore(letters)):
+                for word in self.model.restore_spelled(letters):
                     found.update((word, "^" + word[:4], "^" + word[:5]))
             out.append(found)
         return out
