@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from feederlens.sources.storage import delete
+
 #: Rows of a hot key are spread over this many tasks by joins that would otherwise keep them together.
 SALTS = 16
 
@@ -50,7 +52,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._staged_path = path
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes staged tables whose last reader has written its result; other frames are left alone."""
+    for df in frames:
+        if path := getattr(df, "_staged_path", None):
+            delete(df.sparkSession, path)
 
 
 def spread(*columns: str | Column) -> Column:

@@ -174,7 +174,7 @@ def near_vectors(
         F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector")
     )
     fit = F.expr(
-        "vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL AND x = x AND abs(x) != double('inf'))"
+        "vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) != double('inf'))"
         " AND exists(vector, x -> x != 0)"
     )
     marked = rows.withColumn("fit", F.coalesce(fit, F.lit(False)))

@@ -60,5 +60,43 @@ FROM p LEFT JOIN hits ON hits.page_id = p.page_id AND hits.place = 1
 """
 
 
+def _op13(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Starts, then for each round the nearest centroids and the floored means as two more tables."""
+    nearest = """n{t} AS MATERIALIZED (
+    SELECT vec_id, arg_min(j, (d, j)) AS j, min(d) AS d FROM (
+        SELECT vec_id, j, sum((x - y) * (x - y)) AS d FROM v JOIN c{t} USING (i) GROUP BY vec_id, j
+    ) AS t GROUP BY vec_id
+)"""
+    means = """c{u} AS MATERIALIZED (
+    SELECT j, i, coalesce(m, y) AS y FROM c{t} LEFT JOIN (
+        SELECT j, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS m
+        FROM v JOIN n{t} USING (vec_id) GROUP BY j, i
+    ) AS t USING (j, i)
+)"""
+    steps = [nearest.format(t=0)]
+    for t in range(rounds):
+        steps += [means.format(t=t, u=t + 1), nearest.format(t=t + 1)]
+    return f"""
+WITH kept AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE len(embedding) = {dim} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {dim}
+), v AS MATERIALIZED (
+    SELECT vec_id, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS HUGEINT) AS x
+    FROM kept, range(1, {dim + 1}) AS r(i)
+), starts AS (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS j FROM kept QUALIFY j < {k}
+), c0 AS MATERIALIZED (
+    SELECT j, i, x AS y FROM starts JOIN v USING (vec_id)
+), {", ".join(steps)}, sums AS (
+    SELECT j, sum(d) AS inertia FROM n{rounds} GROUP BY j
+), names AS (
+    SELECT j, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS name FROM c{rounds} GROUP BY j
+)
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sums.inertia AS BIGINT) AS cluster_inertia,
+    CAST((SELECT sum(inertia) FROM sums) AS BIGINT) AS inertia, name AS centroid_sha256
+FROM n{rounds} JOIN sums USING (j) JOIN names USING (j)
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op2_chat": OP2, "op4_exact_dedup": OP4, "op9_url_filters": OP9}
+    return {"op2_chat": OP2, "op4_exact_dedup": OP4, "op9_url_filters": OP9, "op13_centroid_clustering": _op13()}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import bpe, chat, embedding_dedup, exact_dedup, lm_scoring, packing, repeats, simhash, toxicity, url_filters
+from feederlens.llm import (
+    bpe, centroid_clustering, chat, embedding_dedup, exact_dedup, lm_scoring, packing, repeats, simhash, toxicity, url_filters,
+)
 from feederlens.llm.common import ship, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -72,6 +74,10 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return centroid_clustering.cluster(table(spark, sf, "embeddings"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ship(spark)

@@ -14,7 +14,7 @@ SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(oracle.sql()))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = queries.queries()[name](spark, SF_DIR)
     result = con.execute(oracle.sql()[name])
