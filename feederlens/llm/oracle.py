@@ -79,7 +79,7 @@ def _op13(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
     return f"""
 WITH kept AS (
     SELECT vec_id, embedding FROM embeddings
-    WHERE len(embedding) = {dim} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {dim}
+    WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}
 ), v AS MATERIALIZED (
     SELECT vec_id, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS HUGEINT) AS x
     FROM kept, range(1, {dim + 1}) AS r(i)
