@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feederlens.llm import (
-    bpe, centroid_clustering, chat, embedding_dedup, exact_dedup, lm_scoring, packing, repeats, simhash, toxicity, url_filters,
+    alignment, bpe, centroid_clustering, chat, embedding_dedup, exact_dedup, lm_scoring, packing, repeats, simhash, toxicity, url_filters,
 )
 from feederlens.llm.common import ship, table
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
+    return alignment.align(table(spark, sf, "documents"), a, b, keep_groups=False)
+
+
 def op13_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
     return centroid_clustering.cluster(table(spark, sf, "embeddings"))
 
