@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feederlens.llm import (
-    alignment, bpe, centroid_clustering, chat, embedding_dedup, exact_dedup, lm_scoring, packing, repeats, simhash, toxicity, url_filters,
+    alignment, bpe, centroid_clustering, chat, embedding_dedup, exact_dedup, lm_scoring, packing, personal_data, repeats, simhash,
+    toxicity, url_filters,
 )
 from feederlens.llm.common import ship, table
 
@@ -79,6 +80,10 @@ def op11_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align(table(spark, sf, "documents"), a, b, keep_groups=False)
 
 
+def op12_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
     return centroid_clustering.cluster(table(spark, sf, "embeddings"))
 
