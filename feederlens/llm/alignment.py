@@ -27,9 +27,9 @@ from feederlens.llm.merges import byte_symbols
 #: Characters of a block; a longer document is a block of its own.
 BLOCK_CHARS = 4_000_000
 #: Parts that a task remembers, at most.
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 #: Parts that are encoded as one text.
-TOGETHER = 2_000
+TOGETHER = 500
 #: A blank between two characters that are none.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r"^\s| \s|\s |\s\Z")

@@ -149,7 +149,7 @@ def bootstrap(edges: DataFrame, seeds: DataFrame, support: int, good: float, sur
 
     A pattern that fewer than ``support`` distinct identifiers have cannot be good, so it is left out at once."""
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= support)
-    graph = staged(join_unique(edges, sizes, ["pattern"], spread("instance")), "graph")
+    graph = staged(join_unique(edges, sizes.hint("merge"), ["pattern"], spread("instance")), "graph")
     known = staged(seeds.select("instance", "kind", F.lit(1.0).alias("score")), "known")
     first = known
     for _ in range(rounds):
@@ -180,7 +180,7 @@ def bootstrap(edges: DataFrame, seeds: DataFrame, support: int, good: float, sur
 def join_known(graph: DataFrame, known: DataFrame, key: str = "instance") -> DataFrame:
     """Edges with what is known of one of their ends; a hot end's edges are spread over tasks. An instance can be of
     several kinds, a handful at most."""
-    return join_unique(graph, known, [key], spread("pattern", "instance"))
+    return join_unique(graph, known.hint("merge"), [key], spread("pattern", "instance"))
 
 
 def personal_data(
@@ -203,7 +203,7 @@ def personal_data(
     seeds = met.where("base").select("instance", "kind").distinct()
     known = bootstrap(edges, seeds, support, good, sure, rounds)
     best = known.groupBy("instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("as_kind"))
-    added = join_unique(met.where("NOT base"), best, ["instance"], spread("row", "start")).where(_could_be(F.col("as_kind"), F.col("value")))
+    added = join_unique(met.where("NOT base"), best.hint("merge"), ["instance"], spread("row", "start")).where(_could_be(F.col("as_kind"), F.col("value")))
     inside = F.max("end").over(Window.partitionBy("row").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1))
     added = added.withColumn("inside", F.coalesce(inside > F.col("start"), F.lit(False))).where("NOT inside")
     spans = met.where("base").select("row", "kind", "start", "end", "base").unionByName(
