@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,7 @@ from feederlens.operators.dimension import attach_dimension, clean_dimension, ty
 from feederlens.operators.episodes import (
     episodes, final_rows, late_copies, late_rows, marks, online_rows,
 )
-from feederlens.operators.latest import latest
+from feederlens.operators.latest import split_late
 from feederlens.operators.parsing import dedup_readings, parse_lines
 from feederlens.operators.power import primary_readings, stored_readings
 from feederlens.operators.runs import track
@@ -19,6 +20,7 @@ from feederlens.settings import Limits
 from feederlens.sources import files, jdbc, kafka
 from feederlens.sources.daytables import DayTables
 from feederlens.sources.storage import staged
+from feederlens.streaming.state import StateStore
 
 
 def load_rates(lines: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -36,29 +38,43 @@ def status_rows(readings: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def analyse(
     lines: DataFrame, dimension: DataFrame, root: str, limits: Limits = Limits(),
-    batch: int = 0, work_folder: str | None = None,
+    batch: int | None = None, work_folder: str | None = None,
 ) -> DataFrame:
-    """Writes all day tables for a body of lines and returns the latest status per point.
+    """Writes the day tables for a body of lines as one batch and returns the latest status per point.
 
-    Every expensive step is computed once: the secondary and primary tables are read back for the
-    steps that follow, and the tracked readings are staged for their outputs, in the folder that the
+    Without a number the batch is the one after the last committed one. It goes on from the state that
+    the batches before left, so lines handed over in any number of batches, in the order of their
+    times, give the same tables as in one; a committed batch is not written again. Every expensive step is
+    computed once: the secondary and primary rows of the batch are read back for the steps that
+    follow, and the tracked readings are staged for their outputs, in the folder that the
     session names for checkpoints or else in the given one or below ``root``.
     """
     spark = lines.sparkSession
     tables = DayTables(root, limits)
+    store = StateStore(f"{root}/state", ledger=tables.ledger)
+    view = tables.ledger.view(spark)
+    if batch is None:
+        batch = 0 if view.last is None else view.last + 1
+    if view.committed(batch):
+        return store.before(spark, batch + 1)
     tables.write("secondary", dedup_readings(parse_lines(lines)), batch)
-    attached = attach_dimension(
-        tables.read(spark, "secondary"), clean_dimension(dimension)
-    )
+    attached = attach_dimension(tables.read(spark, "secondary", batch=batch), clean_dimension(dimension))
     tables.write("primary", stored_readings(primary_readings(attached)), batch)
-    rates = tables.read(spark, "primary").select("mp_id", "time", "loadrate")
-    with staged(track(rates, limits), work_folder or f"{root}/work") as tracked:
-        late = late_rows(late_copies(rates))
-        tables.write("status", final_rows(tracked, limits).unionByName(late), batch)
+    rates = tables.read(spark, "primary", batch=batch).select("mp_id", "time", "loadrate")
+    state, late = store.before(spark, batch, touched=rates), None
+    with ExitStack() as stack:
+        folder = work_folder or f"{root}/work"
+        if state is not None:
+            state = stack.enter_context(staged(state, folder))
+            rates, late = split_late(rates, state)
+        tracked = stack.enter_context(staged(track(rates, limits, state), folder))
+        status = final_rows(tracked, limits).unionByName(late_rows(late_copies(rates)))
+        tables.write("status", status if late is None else status.unionByName(late_rows(late)), batch)
         tables.write("episodes", episodes(tracked, limits), batch)
         tables.write("marks", marks(tracked), batch)
-        latest(online_rows(tracked)).write.mode("overwrite").parquet(f"{root}/latest")
-    return spark.read.parquet(f"{root}/latest")
+        store.save(spark, batch, online_rows(tracked))
+    tables.commit(spark, batch)
+    return store.before(spark, batch + 1)
 
 
 def export_by_bounds(
@@ -100,5 +116,5 @@ def compact_text(
 
 
 def feed(spark: SparkSession, folder: str, brokers: str, topic: str) -> None:
-    """Lines of all files of a folder, in name order, to a topic."""
-    kafka.feed_topic(files.read_lines(spark, folder), brokers, topic)
+    """Lines of all files of a folder to a topic, those of each file in their order."""
+    kafka.feed_topic(files.numbered_lines(spark, folder), brokers, topic)

@@ -58,11 +58,19 @@ def peek_topic(
     return _text(spark.read.format("kafka").options(**options).load()).limit(count)
 
 
+def records_in_order(lines: DataFrame) -> DataFrame:
+    """Lines (``value``, ``file``, ``line``) as records: the lines of a file follow each other in one task and
+    have one key, so they reach one partition of a topic in their order. Files are spread over tasks; the sort
+    spills, so a task holds no file. Without ``line`` only files are kept together."""
+    place = ["file", "line"] if "line" in lines.columns else ["file"]
+    dealt = lines.repartition("file").sortWithinPartitions(*place)
+    return dealt.select(F.col("file").alias("key"), "value")
+
+
 def feed_topic(lines: DataFrame, brokers: str, topic: str) -> None:
-    """Sends lines of files (``value``, ``file``) in the order of file names."""
+    """Sends lines of files, each file's in their order."""
     (
-        lines.orderBy("file")
-        .select(F.col("file").alias("key"), "value")
+        records_in_order(lines)
         .write.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("topic", topic)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -29,6 +30,29 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(found)) if fs.exists(found) else []
 
 
+def listing(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Files of a folder, without hidden ones: full path -> (bytes, time of the last change)."""
+    fs, found = _hadoop_path(spark, path)
+    there = fs.listStatus(found) if fs.exists(found) else []
+    return {
+        s.getPath().toString(): (s.getLen(), s.getModificationTime())
+        for s in there if s.isFile() and s.getPath().getName()[0] not in "._"
+    }
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Time since the folder or file was last changed."""
+    fs, found = _hadoop_path(spark, path)
+    return time.time() - fs.getFileStatus(found).getModificationTime() / 1000
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """Whether the folder has its new name; an existing one is left alone."""
+    fs, found = _hadoop_path(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    return not fs.exists(target) and fs.rename(found, target)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text as a new file; it appears under its name only when it is whole."""
     fs, found = _hadoop_path(spark, path)
