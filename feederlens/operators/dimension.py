@@ -42,9 +42,10 @@ def salted_lookup(readings: DataFrame, table: DataFrame, how: str = "inner") ->
     """Joins readings to a table with one row per ``mp_id``; its rows are repeated for all salts.
 
     Spark chooses the form of the join by its own sizes. If it shuffles, the readings of a point
-    with very many of them are spread by their values, and what follows has to exchange them anew.
+    with very many of them are spread by their times and first values, and what follows has to exchange
+    them anew. Two columns are enough for that; a hash of all of them would cost more than the join.
     """
-    salt = F.pmod(F.hash(*readings.columns), F.lit(SALTS))
+    salt = F.pmod(F.hash(*[c for c in readings.columns if c != "mp_id"][:2]), F.lit(SALTS))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return readings.withColumn("_salt", salt).join(copies, ["mp_id", "_salt"], how).drop("_salt")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from feederlens.functions.times import from_ms, to_ms
-from feederlens.operators.runs import LEVELS, crossing
+from feederlens.operators.runs import LEVELS, crossing, points
 from feederlens.schema import EPISODE_COLUMNS, MARK_COLUMNS, STATUS_COLUMNS
 from feederlens.settings import HEAVY, LATE, MINUTE, NO_OVERLOAD, OVERLOAD, UNUSABLE, Limits
 
@@ -182,22 +182,17 @@ def late_rows(late: DataFrame) -> DataFrame:
 def late_copies(readings: DataFrame) -> DataFrame:
     """(mp_id, time) of all but one of the readings that share point and time.
 
-    Late rows hold no measures, so counting is enough. The counts are unfolded in two steps with an
-    exchange between them: one huge group is spread over many tasks.
+    Late rows hold no measures, so counting is enough, and it is done with the merge of copies that the
+    detection begins with. The counts are unfolded in two steps with an exchange between them: one huge group
+    is spread over many tasks. (Dealing by the load rate too keeps it in the merge, as the detection has it:
+    only then Spark sees that both read the same exchange.)
     """
     c = F.col
-    counts = (
-        readings.select("mp_id", to_ms(c("time")).alias("ms"))
-        .where(c("mp_id").isNotNull() & c("ms").isNotNull())
-        .groupBy("mp_id", "ms")
-        .agg((F.count(F.lit(1)) - 1).alias("copies"))
-        .where(c("copies") > 0)
-    )
-    blocks = counts.select(
-        "mp_id", "ms", "copies",
+    blocks = points(readings).where(c("copies") > 0).select(
+        "mp_id", "ms", "lr", "copies",
         F.explode(F.sequence(F.lit(0).cast("bigint"), c("copies") - 1, F.lit(_COPIES_PER_TASK)))
         .alias("block"),
-    ).repartition("mp_id", "ms", "block")
+    ).repartition("mp_id", "ms", "lr", "block")
     size = F.least(c("copies") - c("block"), F.lit(_COPIES_PER_TASK)).cast("int")
     return blocks.select(
         "mp_id", from_ms(c("ms")).alias("time"),

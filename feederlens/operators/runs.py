@@ -128,11 +128,11 @@ def _neighbours() -> list[str]:
 
 
 def points(readings: DataFrame) -> DataFrame:
-    """One row per measuring point and millisecond: (mp_id, ms, lr).
+    """One row per measuring point and millisecond: (mp_id, ms, lr, copies).
 
-    Of several readings with the same time the one with the lowest load rate counts; the others are
-    late by definition (``late_copies``). Aggregating first also means that no number of copies
-    can fill one slice.
+    Of several readings with the same time the one with the lowest load rate counts; the others, so many
+    as ``copies``, are late by definition (``late_copies``). Aggregating first also means that no number
+    of copies can fill one slice.
     """
     return (
         readings.select(
@@ -141,7 +141,7 @@ def points(readings: DataFrame) -> DataFrame:
         )
         .where("mp_id IS NOT NULL AND ms IS NOT NULL")
         .groupBy("mp_id", "ms")
-        .agg(F.min("lr").alias("lr"))
+        .agg(F.min("lr").alias("lr"), (F.count(F.lit(1)) - 1).alias("copies"))
     )
 
 
@@ -310,7 +310,9 @@ def track(
     such reading for back-filling.
     """
     heavy, over = limits.levels[0], limits.levels[1]
-    sliced = _in_slices(points(readings), limits)
+    # The condition always holds. It asks for the number of copies, so that what is exchanged here is what
+    # ``late_copies`` reads, and Spark takes one exchange for both.
+    sliced = _in_slices(points(readings).where("copies >= 0"), limits)
     summaries = _summaries(sliced, limits).withColumn("given_class", F.lit(None).cast("int"))
     if state is not None:
         summaries = summaries.unionByName(

@@ -14,6 +14,7 @@ from feederlens.operators.parsing import dedup_readings, parse_lines, recent
 from feederlens.operators.power import primary_readings, stored_readings
 from feederlens.operators.runs import track
 from feederlens.operators.textlines import compact_lines, peek
+from feederlens.plans import jobs
 from feederlens.schema import MEASURES, SECONDARY_COLUMNS, table_schema
 from feederlens.sources import files, jdbc, kafka
 from feederlens.sources.storage import shared_folder, staged
@@ -260,3 +261,40 @@ def test_detection_shuffles_the_readings_only_twice(spark):
     exchanges = [l for l in plan.splitlines() if "+- Exchange" in l]
     assert len(exchanges) == 4
     assert all("mp_id" in l for l in exchanges)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_late_copies_come_from_the_merge_of_copies(spark, tmp_path):
+    rows = [(k, to_dt(900_000 * t), 0.1 * c) for k in range(5) for t in range(40) for c in range(1 + (t + k) % 3)]
+    spark.createDataFrame(rows, "mp_id bigint, time timestamp_ntz, loadrate double").write.parquet(f"{tmp_path}/readings")
+    df = jobs.status_rows(spark.read.parquet(f"{tmp_path}/readings"))
+    plan = final_plan(df)
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 2
+    late = [r for r in df.collect() if r["status"] == 4]
+    assert len(late) == sum((t + k) % 3 for k in range(5) for t in range(40)) == len(rows) - 200
+
+
+def test_latest_sorts_no_structs(spark):
+    states = state_frame(spark, {k: run([(1000 * k, 0.5)])["state"] for k in range(1, 30)})
+    newer = states.where("mp_id < 9").withColumn("time", F.expr("time + INTERVAL 1 MINUTE"))
+    late = states.withColumn("time", F.expr("time + INTERVAL 1 HOUR")).withColumn("status", F.lit(4))
+    df = L.latest(states.unionByName(late), newer)
+    assert "SortAggregate" not in final_plan(df) and final_plan(df).count("WindowGroupLimit") == 2
+    want = {k: to_dt(1000 * k + 60_000 * (k < 9)) for k in range(1, 30)}
+    assert {r["mp_id"]: r["time"] for r in df.collect()} == want
+
+
+def test_a_hot_point_meets_the_dimension_in_several_tasks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    readings = spark.range(4000).selectExpr("1L AS mp_id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) AS time", "1D AS zyggl")
+    dim = spark.createDataFrame([(1, 2.0, 5.0)], "mp_id bigint, ratio double, capacity double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    joined = attach_dimension(readings, dim)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 3000
