@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feederlens.functions.times import from_ms, to_ms
 from feederlens.operators.runs import LEVELS, crossing, points
@@ -131,8 +131,9 @@ def marks(tracked: DataFrame) -> DataFrame:
 def apply_marks(rows: DataFrame, marked: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Stored status rows with later confirmations applied; overload wins over heavy load.
 
-    Only rows that were still pending can match, so only they are joined; a run has at most one
-    confirmation time's worth of them.
+    Only rows that were still pending can match; a run has at most one confirmation time's worth of them.
+    The others take part in the joins under a key of their own time, which no confirmation has, so the rows
+    are read once, and a point with very many of them is spread should Spark shuffle them.
     """
     c = F.col
     pending_over = c("tos").isNotNull() & (c("status") != OVERLOAD) & (
@@ -141,9 +142,8 @@ def apply_marks(rows: DataFrame, marked: DataFrame, limits: Limits = Limits()) -
     pending_heavy = c("ths").isNotNull() & ~c("status").isin(HEAVY, OVERLOAD) & (
         c("thd") < limits.confirm_minutes
     )
-    pending = F.coalesce(pending_over | pending_heavy, F.lit(False))
 
-    def joined(left: DataFrame, status: int, start: str, p: str) -> DataFrame:
+    def joined(left: DataFrame, status: int, start: str, pending: Column, p: str) -> DataFrame:
         right = (
             marked.where(c("status") == status)
             .groupBy(c("mp_id").alias(f"{p}_mp"), c("start").alias(f"{p}_start"))
@@ -151,23 +151,24 @@ def apply_marks(rows: DataFrame, marked: DataFrame, limits: Limits = Limits()) -
                 F.max("confirmed").alias(f"{p}_confirmed"),
                 F.max_by("overloadstatus", "confirmed").alias(f"{p}_class"),
             )
-        )
+        ).withColumn(f"{p}_due", F.lit(True))
+        open_ = F.coalesce(pending, F.lit(False))
+        left = left.withColumn(f"{p}_open", open_).withColumn(f"{p}_key", F.when(open_, c(start)).otherwise(c("time")))
         match = (
-            (left["mp_id"] == right[f"{p}_mp"]) & (left[start] == right[f"{p}_start"])
-            & (left["time"] < right[f"{p}_confirmed"])
+            (left["mp_id"] == right[f"{p}_mp"]) & (left[f"{p}_key"] == right[f"{p}_start"])
+            & (left[f"{p}_open"] == right[f"{p}_due"]) & (left["time"] < right[f"{p}_confirmed"])
         )
         return left.join(right, match, "left")
 
-    found = joined(joined(rows.where(pending), OVERLOAD, "tos", "o"), HEAVY, "ths", "h")
-    over = c("o_confirmed").isNotNull() & (c("status") != OVERLOAD)
-    heavy = c("h_confirmed").isNotNull() & ~c("status").isin(HEAVY, OVERLOAD)
-    fixed = found.withColumns(
+    found = joined(joined(rows, OVERLOAD, "tos", pending_over, "o"), HEAVY, "ths", pending_heavy, "h")
+    over = c("o_confirmed").isNotNull()
+    heavy = c("h_confirmed").isNotNull()
+    return found.withColumns(
         {
             "status": F.when(over, F.lit(OVERLOAD)).when(heavy, F.lit(HEAVY)).otherwise(c("status")),
             "overloadstatus": F.when(over, c("o_class")).otherwise(c("overloadstatus")),
         }
     ).select(*rows.columns)
-    return rows.where(~pending).unionByName(fixed)
 
 
 def late_rows(late: DataFrame) -> DataFrame:

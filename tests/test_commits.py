@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from feederlens.operators.episodes import apply_marks
 from feederlens.operators.latest import latest
 from feederlens.plans import jobs
 from feederlens.schema import STATUS_SCHEMA, table_schema
@@ -160,6 +161,19 @@ def test_merged_days_hold_the_same_rows(spark):
     spark.sql("DROP DATABASE loads_merged CASCADE")
 
 
+def test_repaired_rows_are_read_once(spark, streamed):
+    """In either form of the joins, and next to a point with very many rows."""
+    _, job, seen = streamed
+    stored, marked = job.tables.read(spark, "status"), job.tables.read(spark, "marks")
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        df = apply_marks(stored, marked)
+        assert table(df) == seen[-1]["repaired"] != seen[-1]["status"]
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert sum("FileScan" in x and "loadrate" in x for x in plan.splitlines()) == 1
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def states(spark, rows):
     """Status rows (point, minute, load rate) that are otherwise plain."""
     made = spark.createDataFrame([(k, to_dt(at("00:00") + m * 60_000), r) for k, m, r in rows], "mp_id long, time timestamp_ntz, loadrate double")
