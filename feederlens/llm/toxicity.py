@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feederlens.llm.merges import Remembered
+from feederlens.llm.common import discard, staged
 
 #: Labelled rows that the classifier is fitted on, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 50_000
@@ -39,9 +39,6 @@ SPELLED_WORD = range(4, 17)
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
 OTHER = len(LETTERS) + 1
 SIZE = OTHER + 1
-BEAM = 24
-#: Letters of one lattice; longer ones are decoded piece by piece.
-PIECE = 48
 
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _EDGES = ".,;:?!\"'()[]{}<>#%&*|-_=+/\\^~`"
@@ -57,6 +54,7 @@ _SEPARATED = re.compile(rf"({_UNIT})((?:(?!{_UNIT}).)*)", re.DOTALL)
 #: Separators of spelled letters in a lattice: one as wide as the narrowest of its run, and a wider one.
 NARROW, WIDE = "\0", "\1"
 _LETTERS = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
 class CharacterModel:
@@ -72,54 +70,60 @@ class CharacterModel:
 
     def restore(self, text: str, drops: bool = True) -> str:
         """The most likely letters behind an obfuscated spelling; without drops, what may imitate a letter does."""
-        return "".join(self._piece(text[i : i + PIECE], drops) for i in range(0, len(text), PIECE))
+        return self._decoded(text, drops)
 
     def restore_spelled(self, run: str) -> set[str]:
         """Words behind letters spelled one by one: those of the most likely path, and all that a path may hold."""
         units = _SEPARATED.findall(run)
         least = min(len(gap) for _, gap in units[:-1])
         text = "".join(unit + (WIDE if len(gap) > least else NARROW) for unit, gap in units)[:-1]
-        broken = "".join(self._piece(text[i : i + 2 * PIECE], False) for i in range(0, len(text), 2 * PIECE))
+        broken = self._decoded(text, False)
         words = set(_LETTERS.findall(broken))
         for joined in {broken.replace(" ", ""), self.restore("".join(unit for unit, _ in units), False)}:
             words.update(joined[i : i + n] for n in SPELLED_WORD for i in range(len(joined) - n + 1))
             words.update(_LETTERS.findall(joined))
         return words
 
-    def _piece(self, text: str, drops: bool) -> str:
-        # A state is the last two letters; it keeps its best score and path.
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    def _decoded(self, text: str, drops: bool) -> str:
+        """The best path (Viterbi). A state is the last two letters; it keeps its best score, and its path as a chain
+        of (letter, what came before). No state is left out: there are as many as pairs of letters that the text may
+        stand for."""
+        log = self.log
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
         for char in text:
             if char in (NARROW, WIDE):
                 join, cut = (0.0, COST_BREAK) if char == NARROW else (COST_WIDE_JOIN, COST_WIDE_BREAK)
                 gone = {k: (score - join, path) for k, (score, path) in states.items()}
-                over = [(score + self.log[a][b][0] - cut, path + " ") for (a, b), (score, path) in states.items() if path and b]
-                if over and ((0, 0) not in gone or max(over)[0] > gone[0, 0][0]):
-                    gone[0, 0] = max(over)
+                over = [(score + log[a][b][0] - cut, (a, b)) for (a, b), (score, path) in states.items() if path and b]
+                if over:
+                    score, at = max(over)
+                    if (0, 0) not in gone or score > gone[0, 0][0]:
+                        gone[0, 0] = (score, (" ", states[at][1]))
                 states = gone
                 continue
             options = [(char, _CODE.get(char, OTHER), 0.0 if char.isalpha() else COST_KEPT_SYMBOL)]
             options += [(x, _CODE[x], COST_IMITATED) for x in IMITATES.get(char, "")]
-            made: dict[tuple[int, int], tuple[float, str]] = {}
+            drop = COST_REPEATED if char == before else None if char.isalpha() else COST_DROPPED
+            if char in IMITATES and not drops and char != before:
+                drop = None
+            made: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in states.items():
-                row = self.log[a][b]
+                row = log[a][b]
                 for letter, code, cost in options:
                     total = score + row[code] - cost
                     if (b, code) not in made or total > made[b, code][0]:
-                        made[b, code] = (total, path + letter)
-                drop = COST_REPEATED if char == before else None if char.isalpha() else COST_DROPPED
-                if char in IMITATES and not drops and char != before:
-                    drop = None
-                if drop is not None and path:
-                    total = score - drop
-                    if (a, b) not in made or total > made[a, b][0]:
-                        made[a, b] = (total, path)
-                elif drop is not None:
-                    made.setdefault((a, b), (score - drop, path))
+                        made[b, code] = (total, (letter, path))
+                if drop is not None and ((a, b) not in made or score - drop > made[a, b][0]):
+                    made[a, b] = (score - drop, path)
             before = char
-            states = dict(sorted(made.items(), key=lambda x: (-x[1][0], x[1][1]))[:BEAM])
-        return max(states.items(), key=lambda x: (x[1][0] + self.log[x[0][0]][x[0][1]][0], x[1][1]))[1][1]
+            states = made
+        best = max(states, key=lambda k: (states[k][0] + log[k[0]][k[1]][0], k))
+        letters, path = [], states[best][1]
+        while path:
+            letter, path = path
+            letters.append(letter)
+        return "".join(reversed(letters))
 
 
 def character_counts(docs: DataFrame) -> DataFrame:
@@ -153,53 +157,76 @@ def character_model(docs: DataFrame) -> CharacterModel:
     return CharacterModel(triples)
 
 
-class Features:
-    """Features of texts: restored words, and their beginnings after a mark."""
+def skeleton(word: str) -> str:
+    """The word with each run of a letter as one; letters that are restored only by leaving out repetitions keep it."""
+    return _RUN.sub(r"\1", word)
+
 
-    def __init__(self, model: CharacterModel, size: int = 300_000):
-        self.model, self.known = model, Remembered(size)
+def _named(words: list[str] | set[str]) -> list[str]:
+    return [f for word in words for f in (word, "^" + word[:4], "^" + word[:5])]
+
+
+class Features:
+    """Features of texts: restored words, and their beginnings after a mark. With ``wanted`` only those, and a word
+    of letters is restored only if what may come out has the skeleton of a wanted feature."""
+
+    def __init__(self, model: CharacterModel, wanted: list[str] | None = None, size: int = 600_000):
+        self.model, self.size = model, size
+        self.wanted = None if wanted is None else frozenset(wanted)
+        self.words = {skeleton(f) for f in wanted or () if f[0] != "^"}
+        self.starts = {skeleton(f[1:]) for f in wanted or () if f[0] == "^"}
+        #: Tokens seen, and the features of those that have any.
+        self.seen: set[str] = set()
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def _may_be_wanted(self, word: str) -> bool:
+        if self.wanted is None:
+            return True
+        bare = skeleton(word)
+        return bare in self.words or any(bare[:n] in self.starts for n in range(1, 6))
 
     def of_token(self, token: str) -> tuple[str, ...]:
-        core = token.strip(_EDGES)
         whole = token.strip(_PLAIN_EDGES)
-        if whole.isalpha() and not _REPEATED.search(whole):
+        if whole.isalpha():
             words = [whole]
+            if _REPEATED.search(whole) and self._may_be_wanted(whole):
+                words.append(self.model.restore(whole))
         else:
-            core = _DECORATION.sub("", core).strip(_EDGES)
+            core = _DECORATION.sub("", token.strip(_EDGES)).strip(_EDGES)
             words = _LETTERS.findall(core)
             # Symbols at an edge are punctuation or letters; numbers are numbers.
             left = _DECORATION.sub("", whole).strip(_PLAIN_EDGES)
             forms = [core, left.rstrip(_EDGES), left.lstrip(_EDGES), left]
             if words or (len(left) > 2 and not left.isdigit() and all(c in IMITATES for c in left)):
                 for text in dict.fromkeys(forms):
-                    if text and (not text.isalpha() or _REPEATED.search(text)):
+                    if text.isalpha():
+                        if _REPEATED.search(text) and self._may_be_wanted(text):
+                            words.append(self.model.restore(text))
+                    elif text:
                         words += _LETTERS.findall(self.model.restore(text))
-                        if not text.isalpha():
-                            words += _LETTERS.findall(self.model.restore(text, False))
-        found = []
-        for word in dict.fromkeys(words):
-            found += [word, "^" + word[:4], "^" + word[:5]]
-        return tuple(dict.fromkeys(found))
+                        words += _LETTERS.findall(self.model.restore(text, False))
+        found = dict.fromkeys(_named(words))
+        return tuple(found if self.wanted is None else [f for f in found if f in self.wanted])
 
     def of_texts(self, texts: list[str | None]) -> list[set[str]]:
         """Distinct features of each text; none for an empty or null one."""
-        rows, spelled = [], []
+        out, seen, known = [], self.seen, self.known
         for text in texts:
             low = (text or "").lower()
-            rows.append(list(set(low.split())))
-            runs = [m.group() for m in _SPELLED.finditer(low)]
-            spelled.append([x for x in runs if any(c.isalpha() or c in _SYMBOLS for c in x)])
-        for token in self.known.missing(rows):
-            self.known.new[token] = self.of_token(token)
-        known, out = self.known.new, []
-        for row, more in zip(rows, spelled, strict=True):
-            found: set[str] = set()
-            for token in row:
-                found.update(known[token])
-            for letters in more:
-                for word in self.model.restore_spelled(letters):
-                    found.update((word, "^" + word[:4], "^" + word[:5]))
-            out.append(found)
+            row = set(low.split())
+            new = row - seen
+            for token in new:
+                if made := self.of_token(token):
+                    known[token] = made
+            seen |= new
+            found = set().union(*[known[token] for token in row & known.keys()])
+            for run in _SPELLED.finditer(low):
+                if any(c.isalpha() or c in _SYMBOLS for c in run.group()):
+                    found.update(_named(self.model.restore_spelled(run.group())))
+            out.append(found if self.wanted is None else found & self.wanted)
+            if len(seen) > self.size:
+                seen.clear()
+                known.clear()
         return out
 
 
@@ -234,49 +261,50 @@ class Classifier:
 
 def fit(docs: DataFrame, labels: DataFrame, model: CharacterModel, rows: int = TRAIN_ROWS, features: int = FEATURES) -> Classifier:
     """Without labels of both kinds the score is the share of toxic ones for every text (0.5 if there is none)."""
-    train = _training(docs, labels, rows)
+    train = _training(docs, labels, rows).select("text", "toxic")
+    sizes = dict(train.groupBy("toxic").count().collect())
+    if not sizes.get(0) or not sizes.get(1):
+        share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
+        share = min(max(share, 0.001), 0.999)
+        return Classifier({}, math.log(share / (1 - share)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Features(shared.value)
+        of, counts = Features(shared.value), Counter()
         for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
-            toxic = batch.column(1).to_pylist()
-            for y, found in zip(toxic, of.of_texts(batch.column(0).to_pylist()), strict=True):
-                counts[y].update(found)
-                counts[y][""] += 1
-            names = list(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(names, pa.string()), pa.array([counts[0][n] for n in names], pa.int64()),
-                pa.array([counts[1][n] for n in names], pa.int64()),
-            ], ["feature", "clean", "toxic"])
-
-    counted = train.select("text", "toxic").mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    )
-    every = F.max(F.when(F.col("feature") == "", F.struct("clean", "toxic")))
-    sizes = counted.agg(every.alias("n")).first()["n"]
-    if not sizes or not sizes["clean"] or not sizes["toxic"]:
-        share = sizes["toxic"] / (sizes["toxic"] + sizes["clean"]) if sizes else 0.5
-        share = min(max(share, 0.001), 0.999)
-        return Classifier({}, math.log(share / (1 - share)))
-    ratio = (F.col("toxic") / sizes["toxic"]) / ((F.col("clean") + 0.5) / sizes["clean"])
-    chosen = [
-        r["feature"] for r in counted.where("feature != ''").where(F.col("toxic") >= LEAST_ROWS).where(ratio >= LEAST_RATIO)
-        .orderBy(F.desc("toxic"), "feature").limit(features).collect()
-    ]
-    place = {f: i for i, f in enumerate(chosen)}
+            for found in of.of_texts(batch.column(0).to_pylist()):
+                counts.update(found)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
+
+    # A feature must be in some toxic rows, so only those are asked for their features. Like the rows, what they
+    # have in common is bounded.
+    common = train.where("toxic = 1").select("text").mapInArrow(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    candidates = sorted(r["feature"] for r in common.where(F.col("n") >= LEAST_ROWS).select("feature").collect())
+    asked = docs.sparkSession.sparkContext.broadcast((model, candidates))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Features(shared.value)
+        one, names = asked.value
+        of, place = Features(one, names), {f: i for i, f in enumerate(names)}
         for batch in batches:
-            found = [sorted(place[f] for f in x.intersection(place)) for x in of.of_texts(batch.column(0).to_pylist())]
+            found = [sorted(place[f] for f in x) for x in of.of_texts(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])
 
+    looked = staged(train.mapInArrow(look, "toxic int, found array<int>"), "looked")
+    counted = looked.select("toxic", F.explode("found").alias("place")).groupBy("place").agg(
+        F.count(F.when(F.col("toxic") == 0, 1)).alias("clean"), F.count(F.when(F.col("toxic") == 1, 1)).alias("toxic")
+    )
+    ratio = (F.col("toxic") / sizes[1]) / ((F.col("clean") + 0.5) / sizes[0])
+    places = [
+        r["place"] for r in counted.where(F.col("toxic") >= LEAST_ROWS).where(ratio >= LEAST_RATIO)
+        .orderBy(F.desc("toxic"), "place").limit(features).collect()
+    ]
     # A count per pattern of features: at most one small row for each training row.
-    seen = train.select("text", "toxic").mapInArrow(look, "toxic int, found array<int>").groupBy("toxic", "found").count()
-    table = seen.orderBy("toxic", "found").collect()
-    return Classifier(*_logistic(table, chosen))
+    chosen = F.array_intersect("found", F.lit(places).cast("array<int>")) if places else F.array().cast("array<int>")
+    table = looked.select("toxic", F.array_sort(chosen).alias("found")).groupBy("toxic", "found").count().orderBy("toxic", "found").collect()
+    discard(looked)
+    at = {p: i for i, p in enumerate(places)}
+    patterns = [{"toxic": r["toxic"], "found": sorted(at[p] for p in r["found"]), "count": r["count"]} for r in table]
+    return Classifier(*_logistic(patterns, [candidates[p] for p in places]))
 
 
 def _logistic(table: list, chosen: list[str]) -> tuple[dict[str, float], float]:
@@ -316,7 +344,7 @@ def clean(docs: DataFrame, labels: DataFrame, at: float = PREDICTED_AT) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, classifier = shared.value
-        of = Features(model)
+        of = Features(model, list(classifier.weights))
         for batch in batches:
             scores = _scores(of, classifier, batch.column(names.index("text")).to_pylist())
             yield batch.filter(pa.array([s < at for s in scores], pa.bool_()))
@@ -333,7 +361,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, feature
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, classifier = shared.value
-        of = Features(model)
+        of = Features(model, list(classifier.weights))
         for batch in batches:
             scores = _scores(of, classifier, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])

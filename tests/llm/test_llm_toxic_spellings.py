@@ -35,3 +35,25 @@ def test_obfuscated_rows_are_predicted(llm):
     table = llm.createDataFrame(labels, "doc_id long, toxic int, text string")
     got = {r.doc_id: r.predicted for r in toxicity.toxicity(frame(llm, docs), table).collect()}
     assert [got[d] for d in range(900, 905)] == [1, 1, 1, 1, 0]
+
+
+def test_long_tokens_are_decoded_whole(llm):
+    """Words over any place of a long token come out, and no state of the lattice is lost to others."""
+    model = toxicity.character_model(llm.createDataFrame([(" ".join(["the", "stupid", "idiot", "said", "nothing"] * 50),)], "text string"))
+    for n in (3, 12, 40):
+        assert toxicity.CharacterModel.restore(model, "1d!0t" * n, False).count("i") >= n
+        assert "stupid" in model.restore("x" * 45 + "-" + "s.t.u.p.i.d")
+    assert model.restore("s" * 3000 + "tupid")[-5:] == "tupid"
+
+
+def test_asking_for_some_features_changes_none(llm):
+    rnd = __import__("random").Random(2)
+    model = toxicity.character_model(llm.createDataFrame([("the stupid idiot said nothing",)], "text string"))
+    words = ["stupid", "idiot", "said", "cool", "feel", "trash"]
+    spelled = lambda w: "".join(c * rnd.choice([1, 1, 1, 2, 3]) for c in w)
+    texts = [" ".join(spelled(rnd.choice(words)).replace(*rnd.choice([("i", "1"), ("i", "i"), ("s", "$")])) + rnd.choice(["", "!", ".", "|"]) for _ in range(30)) for _ in range(60)]
+    texts += ["s t u p i d", "st uu p i d d", None, "", "|diot (lown !d!0t"]
+    every = toxicity.Features(model).of_texts(texts)
+    for wanted in (["stupid", "^idio"], ["cool", "^feel", "^tras", "said"], ["nothing"], []):
+        small = toxicity.Features(model, wanted, size=5).of_texts(texts)
+        assert small == [x & set(wanted) for x in every]
