@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -54,6 +56,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     read = spark.read.schema(df.schema).parquet(path)
     read._staged_path = path
+    for made in _made[-1:]:
+        made.append(read)
     return read
 
 
@@ -64,6 +68,29 @@ def discard(*frames: DataFrame) -> None:
             delete(df.sparkSession, path)
 
 
+#: Staged tables made so far in each open ``passing`` block.
+_made: list[list[DataFrame]] = []
+
+
+@contextmanager
+def passing() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose staged tables go at its end, but for those given to the function that it yields. These must not
+    be read from the others any more, so they are staged themselves."""
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    _made.append([])
+    try:
+        yield keep
+    finally:
+        discard(*(df for df in _made.pop() if not any(df is k for k in kept)))
+        for made in _made[-1:]:
+            made.extend(kept)
+
+
 def spread(*columns: str | Column) -> Column:
     """A salt that rows of one key share out between them."""
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")

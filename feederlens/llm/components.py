@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from feederlens.llm.common import join_unique, spread, staged
+from feederlens.llm.common import discard, join_unique, spread, staged
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -42,6 +42,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component"))
             ).distinct()
-        seen = state
-        now = staged(_star(_star(now, large=True), large=False), "edges")
+        seen, before = state, now
+        now = staged(_star(_star(before, large=True), large=False), "edges")
+        discard(before)
     raise RuntimeError("components did not settle")

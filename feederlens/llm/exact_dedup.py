@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from feederlens.llm.common import BLANKS, join_unique, spread, staged
+from feederlens.llm.common import BLANKS, join_unique, passing, spread, staged
 
 #: A safe prime: (PRIME - 1) / 2 is prime too, so powers of 256 do not repeat early.
 PRIME = 2**124 + 25951
@@ -143,8 +143,9 @@ def _split_collisions(marks: DataFrame, bodies: DataFrame, clashing: DataFrame,
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns; of repeated rows one."""
-    kept = exact_groups(docs).where("kept OR keep_id IS NULL").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_kept_rows"))
-    kept = staged(kept, "kept").hint("shuffle_hash")
-    met = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")))
+    with passing() as keep:
+        kept = exact_groups(docs).where("kept OR keep_id IS NULL").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_kept_rows"))
+        kept = keep(staged(kept, "kept"))
+    met = docs.join(kept.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")))
     once, often = met.where("_kept_rows = 1"), met.where("_kept_rows > 1").dropDuplicates(["doc_id", "text"])
     return once.unionByName(often).select(*docs.columns)

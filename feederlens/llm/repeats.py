@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feederlens.llm.common import join_unique, spread, staged
+from feederlens.llm.common import join_unique, passing, spread, staged
 from feederlens.llm.suffix_sort import repeated_starts
 
 LENGTH = 400
@@ -339,7 +339,8 @@ def covered(spans_: list[int], length: int) -> list[tuple[int, int]]:
 
 
 def _with_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    found = staged(repeated_windows(docs, length, gram), "spans")
+    with passing() as keep:
+        found = keep(staged(repeated_windows(docs, length, gram), "spans"))
     return join_unique(
         _marked(docs), found.hint("shuffle_hash"), ["m1", "m2"], spread("doc_id"), "left"
     ).select("doc_id", "text", "spans")
@@ -428,11 +429,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, pas
     """The rows of docs, with all their columns, less the repeated bytes of their texts; bytes of characters that a
     cut has split go too. A null text becomes empty. With ``passage``, strings of so many whole words that recur, whatever
     their blanks, go as well, however few bytes they have."""
-    found = staged(repeated_windows(docs, length, gram), "spans")
+    with passing() as keep:
+        found = keep(staged(repeated_windows(docs, length, gram), "spans"))
     found = found.withColumn("passages", F.lit(None).cast("array<long>"))
     if passage:
-        more = repeated_passages(docs, passage).withColumnRenamed("spans", "passages")
-        found = found.drop("passages").join(staged(more, "passages").hint("shuffle_hash"), ["m1", "m2"], "full")
+        with passing() as keep:
+            more = keep(staged(repeated_passages(docs, passage).withColumnRenamed("spans", "passages"), "passages"))
+        found = found.drop("passages").join(more.hint("shuffle_hash"), ["m1", "m2"], "full")
     text, names = F.coalesce("text", F.lit("")), docs.columns
     marks = {"_repeat_m1": F.xxhash64(text), "_repeat_m2": F.xxhash64(F.lit(1), text)}
     met = join_unique(
