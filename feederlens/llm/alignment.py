@@ -113,6 +113,21 @@ class Aligner:
         self.good, self.counts = np.empty(0, bool), np.empty((0, 4), np.int64)
         #: Pairs of all parts one after another, with their times, and the first of each part.
         self.pairs, self.times, self.first = np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(1, np.int64)
+        #: Blocks in which each part was, since parts were last left out.
+        self.hits = np.empty(0, np.int64)
+
+    def thin(self) -> None:
+        """Forgets the parts that only one block had, or all if that leaves too many."""
+        keep = np.flatnonzero(self.hits > 1)
+        if len(keep) > CACHE_PARTS // 2:
+            self.forget()
+            return
+        names, wide = list(self.number), self.first[keep + 1] - self.first[keep]
+        at = np.arange(wide.sum()) + np.repeat(self.first[keep] - (np.cumsum(wide) - wide), wide)
+        self.number = {names[k]: i for i, k in enumerate(keep.tolist())}
+        self.text = [self.text[k] for k in keep.tolist()]
+        self.good, self.counts, self.pairs, self.times = self.good[keep], self.counts[keep], self.pairs[at], self.times[at]
+        self.first, self.hits = np.concatenate([[0], np.cumsum(wide)]), np.zeros(len(keep), np.int64)
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -133,6 +148,7 @@ class Aligner:
             np.concatenate([old, *(x[k] for x in made)]) for k, old in enumerate((self.good, self.counts, self.pairs, self.times), 2)
         )
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([x[6] for x in made]))])
+        self.hits = np.concatenate([self.hits, np.zeros(len(names), np.int64)])
 
     def _aligned(self, parts: list[str]) -> list[tuple]:
         """Parts with their texts, goodness, counts, pairs, times and numbers of pairs. A text that a side does not
@@ -192,7 +208,7 @@ class Aligner:
     def numbers(self, texts: list[str | None]) -> list[list[int]]:
         """The numbers of each text's parts; those of a block fit the memory whatever is remembered."""
         if len(self.text) > CACHE_PARTS:
-            self.forget()
+            self.thin()
         cut = [self.parts(t) if t else [] for t in texts]
         known = self.number
         missing = list(dict.fromkeys(p for some in cut for p in some if p not in known))
@@ -240,6 +256,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool, block_
         flat = np.array([x for some in numbers for x in some], np.int64)
         doc = np.repeat(np.arange(len(ids)), sizes)
         used, place = np.unique(flat, return_inverse=True)
+        known.hits[used] += 1
         counts = np.stack([np.bincount(doc, known.counts[flat, c], len(ids)).astype(np.int64) for c in range(4)])
         texts_ = [";".join([known.text[x] for x in some]) for some in numbers]
         # (document, part) once with its times, then (document, pair).

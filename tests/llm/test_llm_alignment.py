@@ -86,8 +86,13 @@ def test_forgetting_changes_nothing(monkeypatch):
     texts = lambda text: [known.text[x] for x in known.numbers([text])[0]]
     first = texts("one two three four five")
     assert texts("one two three four five") == first and len(known.number) == 5
-    texts("six")
-    assert set(known.number) == {"six"}
+    known.hits[[known.number[w] for w in ("two",)]] = 2
+    assert texts("six two") == [texts("six")[0], first[1]]
+    assert set(known.number) == {"six", "two"} and known.first[-1] == len(known.pairs) == len(known.times)
+    known.hits[:] = 5
+    monkeypatch.setattr(alignment, "CACHE_PARTS", 1)
+    texts("seven")
+    assert set(known.number) == {"seven"}
 
 
 def test_groups_are_kept_and_empty_tables_pass(llm):
