@@ -12,11 +12,13 @@ import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from feederlens.llm.common import discard, staged
 from feederlens.llm.merges import Remembered, Vocabulary, byte_symbols
 
 #: The pattern that splits a text before the merges of a byte-level vocabulary.
@@ -24,6 +26,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Below this code point all versions of Unicode agree on what is a letter; other texts are split by the library.
 SETTLED = "\u0530"
 LEXICON_WORDS = 150_000
+#: Words of more characters are merged where they occur; the lexicon has none.
+WORD_CHARS = 64
+#: Different parts of texts that a task counts before it hands their words on.
+COUNTED_PARTS = 200_000
 #: Parts of texts whose ids a task remembers, at most.
 CACHE_PARTS = 300_000
 
@@ -149,6 +155,8 @@ class Splitter:
         self.symbols = byte_symbols()
 
     def split(self, text: str) -> list[str]:
+        if text.isascii() and (text.isalpha() or (text[:1] == " " and text[1:].isalpha())):
+            return [text]
         if text.isascii() or max(text) < SETTLED:
             return self.find(text)
         if self.library is None:
@@ -162,17 +170,28 @@ class Splitter:
         """Parts that can be split on their own: a single blank before a word begins a pre-token."""
         if self.odd_blank(text):
             return [text]
-        first, *others = text.split(" ")
-        return [first, *[" " + x for x in others]]
+        if "\0" in text:
+            first, *others = text.split(" ")
+            return [first, *[" " + x for x in others]]
+        return text.replace(" ", "\0 ").split("\0")
+
+
+IDS, LISTED, RAW = itemgetter(0), itemgetter(1), itemgetter(2)
 
 
 class Encoder:
-    """Ids of texts by the lexicon, and by merges where it ends; and texts of ids."""
+    """Ids of texts by the lexicon, and by merges where it ends; and texts of ids.
+
+    Of each part it remembers the ids, the same in decimals, and the bytes that they decode to."""
 
     def __init__(self, vocabulary: Vocabulary, splitter: Splitter, lexicon: Transducer):
         self.vocabulary, self.splitter, self.lexicon = vocabulary, splitter, lexicon
         self.parts = Remembered(CACHE_PARTS)
 
+    def _entry(self, ids: bytes) -> tuple[bytes, str, bytes]:
+        numbers, token = np.frombuffer(ids, "<i4").tolist(), self.vocabulary.token
+        return ids, ",".join(map(str, numbers)), b"".join([token[i] for i in numbers])
+
     def _segments(self, text: str) -> list[str | int]:
         """A text between its special tokens, and their ids."""
         out: list[str | int] = [text]
@@ -198,28 +217,32 @@ class Encoder:
             found[i] = x
         ids = dict(zip(words, found, strict=True))
         self.parts.new.update(
-            (p, ids[some[0]] if len(some) == 1 else b"".join([ids[w] for w in some])) for p, some in zip(parts, cut, strict=True)
+            (p, self._entry(ids[some[0]] if len(some) == 1 else b"".join([ids[w] for w in some]))) for p, some in zip(parts, cut, strict=True)
         )
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers; none for a null or empty text."""
-        split, made, numbers = self.splitter, [], set()
+    def entries(self, texts: list[str | None]) -> list[list[tuple[bytes, str, bytes]]]:
+        """For each text the ids, decimals and bytes of its parts in order; none for a null or empty text."""
+        split, made = self.splitter, []
         for text in texts:
-            one = []
+            one: list[str | int] = []
             for segment in self._segments(text) if text else []:
                 if isinstance(segment, int):
-                    numbers.add(segment)
                     one.append(segment)
                 else:
                     one += split.parts(segment)
             made.append(one)
-        missing = [p for p in self.parts.missing(made) if not isinstance(p, int)]
+        missing = self.parts.missing([set().union(*made)])
+        known = self.parts.new
+        known.update((x, self._entry(np.array([x], "<i4").tobytes())) for x in missing if isinstance(x, int))
+        missing = [p for p in missing if not isinstance(p, int)]
         for at in range(0, len(missing), 20_000):
             self._learn(missing[at : at + 20_000])
-        known = self.parts.new
-        if numbers:
-            known = known | {x: np.array([x], "<i4").tobytes() for x in numbers}
-        return [b"".join([known[p] for p in one]) for one in made]
+        # A part without ids is the empty one before a blank.
+        return [[known[p] for p in one if p != ""] for one in made]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers; none for a null or empty text."""
+        return [b"".join(map(IDS, one)) for one in self.entries(texts)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids; bytes that are no UTF-8 become replacement characters."""
@@ -231,30 +254,52 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """How often each pre-token occurs in the whole corpus (word, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(tokenizer)
-        for batch in batches:
-            parts: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                parts.update(splitter.parts(text) if text else ())
+        splitter, parts = Splitter(tokenizer), Counter()
+
+        def counted() -> pa.RecordBatch:
             counts: Counter = Counter()
             for part, n in parts.items():
                 for word in splitter.split(part) if part else ():
                     counts[word] += n
-            yield pa.RecordBatch.from_arrays(
+            parts.clear()
+            return pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
             )
 
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                parts.update(splitter.parts(text) if text else ())
+                if len(parts) > COUNTED_PARTS:
+                    yield counted()
+        yield counted()
+
     made = docs.select("text").mapInArrow(run, "word string, n long")
     return made.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """The most frequent words of counts (word, n), at most ``size``. Words are taken by classes of like frequency, 16
+    for each doubling, so that neither one task nor the driver merges the top of every partition."""
+    kind = F.floor(F.log2("n") * 16)
+    least, total = None, 0
+    for row in counts.groupBy(kind.alias("kind")).count().orderBy(F.desc("kind")).collect():  # at most 1,024 classes
+        total += row["count"]
+        if total > size:
+            break
+        least = row["kind"]
+    if least is None:
+        return []
+    return counts.where(kind >= least).select("word").toArrow().column(0).to_pylist()
+
+
 def lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> Transducer:
-    """Transducer of the most frequent words of the corpus, at most ``size`` of them; the others are merged
-    where they occur. Ties go by the word."""
-    top = word_counts(docs, tokenizer).where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(size)
-    vocabulary = Vocabulary(tokenizer)
-    raw = [r["word"].encode("utf-8", "surrogatepass") for r in top.select("word").collect()]
-    return Transducer.build(dict(zip(raw, vocabulary.merged(raw), strict=True)))
+    """Transducer of the most frequent words of the corpus, at most ``size`` of them (``frequent_words``); the others
+    are merged where they occur, and so are words that occur once."""
+    counts = word_counts(docs, tokenizer).where((F.col("n") > 1) & (F.length("word") <= WORD_CHARS))
+    counts = staged(counts, "words")
+    raw = [word.encode("utf-8", "surrogatepass") for word in frequent_words(counts, size)]
+    discard(counts)
+    return Transducer.build(dict(zip(raw, Vocabulary(tokenizer).merged(raw), strict=True)))
 
 
 ENCODED = "doc_id long, ids array<int>, decoded string"
@@ -265,8 +310,13 @@ def _encoder(tokenizer: str, data: bytes) -> Encoder:
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> DataFrame:
-    """Ids of each text of docs (doc_id, text), and the text that they decode to. Null texts are empty."""
-    return _run(docs, tokenizer, size, ENCODED, lambda ids, text: (ids, text), [pa.list_(pa.int32()), pa.string()])
+    """Ids of each text of docs (doc_id, text), and the text that they decode to. Null texts are empty; repeated rows
+    come back repeated; an empty table gives an empty one."""
+
+    def made(parts: list[tuple[bytes, str, bytes]]) -> tuple[list[int], str]:
+        return np.frombuffer(b"".join(map(IDS, parts)), "<i4").tolist(), _decoded(parts)
+
+    return _run(docs, tokenizer, size, ENCODED, made, [pa.list_(pa.int32()), pa.string()])
 
 
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -275,15 +325,18 @@ DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 def encode_digest(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> DataFrame:
     """As encode_decode, with digests in the place of ids and texts."""
 
-    def made(ids: list[int], text: str) -> tuple[int, str, str]:
+    def made(parts: list[tuple[bytes, str, bytes]]) -> tuple[int, str, str]:
+        listed = ",".join(map(LISTED, parts))
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-        return len(ids), sha(",".join([decimal[i] for i in ids])), sha(text)
-
-    decimal = [str(i) for i in range(len(Vocabulary(tokenizer).token))]
+        return listed.count(",") + 1 if parts else 0, sha(listed), sha(_decoded(parts))
 
     return _run(docs, tokenizer, size, DIGEST, made, [pa.int64(), pa.string(), pa.string()])
 
 
+def _decoded(parts: list[tuple[bytes, str, bytes]]) -> str:
+    return b"".join(map(RAW, parts)).decode("utf-8", "replace")
+
+
 def _run(docs, tokenizer, size, schema, made, types) -> DataFrame:
     data = docs.sparkSession.sparkContext.broadcast(lexicon(docs, tokenizer, size).to_bytes())
     names = [x.split()[0] for x in schema.split(", ")]
@@ -293,8 +346,7 @@ def _run(docs, tokenizer, size, schema, made, types) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                found = [np.frombuffer(x, "<i4").tolist() for x in encoder.encode(part.column(1).to_pylist())]
-                rows = [made(ids, encoder.decode(ids)) for ids in found]
+                rows = [made(parts) for parts in encoder.entries(part.column(1).to_pylist())]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
 

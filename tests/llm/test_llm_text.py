@@ -122,6 +122,22 @@ def test_bpe_over_a_table(llm):
     assert bpe.encode_digest(empty(llm), BYTE).count() == 0
 
 
+def test_frequent_words_come_by_whole_classes(llm):
+    counts = llm.createDataFrame([("a", 900), ("b", 901), ("c", 40), ("d", 40), ("e", 2)], "word string, n long")
+    assert [sorted(bpe.frequent_words(counts, n)) for n in (5, 4, 3, 2, 1, 0)] == [
+        ["a", "b", "c", "d", "e"], ["a", "b", "c", "d"], ["a", "b"], ["a", "b"], [], [],
+    ]
+    assert bpe.frequent_words(counts.limit(0), 5) == []
+
+
+def test_bpe_parts_join_to_the_text(encoders):
+    own, library, *_ = encoders
+    texts = [" a  b", "a\0 b c", "a b\n c ", "", None, "<|endoftext|> a<|endoftext|>", "ab'll d'll"] * 2
+    for text, parts in zip(texts, own.entries(texts), strict=True):
+        assert b"".join(p[2] for p in parts).decode() == (text or "")
+        assert ",".join(p[1] for p in parts) == ",".join(map(str, library.encode(text or "", add_special_tokens=False).ids))
+
+
 def test_embeddings_by_brute_force(llm, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rnd = np.random.default_rng(1)
