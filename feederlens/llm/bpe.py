@@ -10,12 +10,15 @@ import hashlib
 import json
 import re
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from feederlens.llm.common import discard, staged
@@ -187,10 +190,23 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, splitter: Splitter, lexicon: Transducer):
         self.vocabulary, self.splitter, self.lexicon = vocabulary, splitter, lexicon
         self.parts = Remembered(CACHE_PARTS)
-
-    def _entry(self, ids: bytes) -> tuple[bytes, str, bytes]:
-        numbers, token = np.frombuffer(ids, "<i4").tolist(), self.vocabulary.token
-        return ids, ",".join(map(str, numbers)), b"".join([token[i] for i in numbers])
+        self.decimal = [str(i) for i in range(len(vocabulary.token))]
+        self.token_bytes = np.array([len(t) for t in vocabulary.token], np.int64)
+        self.token_chars = np.array([len(d) + 1 for d in self.decimal], np.int64)
+
+    def _entries(self, found: list[bytes]) -> list[tuple[bytes, str, bytes]]:
+        """The ids of parts (not none of them) with their decimals and bytes, cut out of those of all parts."""
+        ids = np.frombuffer(b"".join(found), "<i4")
+        numbers = ids.tolist()
+        raw = b"".join(map(self.vocabulary.token.__getitem__, numbers))
+        listed = ",".join(map(self.decimal.__getitem__, numbers))
+        last = np.cumsum([len(x) // 4 for x in found])
+        to_byte = np.cumsum(self.token_bytes[ids])[last - 1].tolist()
+        to_char = np.cumsum(self.token_chars[ids])[last - 1].tolist()
+        return [
+            (x, listed[c : d - 1], raw[a:b])
+            for x, a, b, c, d in zip(found, [0, *to_byte[:-1]], to_byte, [0, *to_char[:-1]], to_char, strict=True)
+        ]
 
     def _segments(self, text: str) -> list[str | int]:
         """A text between its special tokens, and their ids."""
@@ -216,9 +232,8 @@ class Encoder:
         for i, x in zip(unseen, self.vocabulary.merged([raw[i] for i in unseen]), strict=True):
             found[i] = x
         ids = dict(zip(words, found, strict=True))
-        self.parts.new.update(
-            (p, self._entry(ids[some[0]] if len(some) == 1 else b"".join([ids[w] for w in some]))) for p, some in zip(parts, cut, strict=True)
-        )
+        whole = [ids[some[0]] if len(some) == 1 else b"".join([ids[w] for w in some]) for some in cut]
+        self.parts.new.update(zip(parts, self._entries(whole), strict=True))
 
     def entries(self, texts: list[str | None]) -> list[list[tuple[bytes, str, bytes]]]:
         """For each text the ids, decimals and bytes of its parts in order; none for a null or empty text."""
@@ -233,11 +248,11 @@ class Encoder:
             made.append(one)
         missing = self.parts.missing([set().union(*made)])
         known = self.parts.new
-        known.update((x, self._entry(np.array([x], "<i4").tobytes())) for x in missing if isinstance(x, int))
-        missing = [p for p in missing if not isinstance(p, int)]
+        known.update((x, self._entries([x.to_bytes(4, "little")])[0]) for x in missing if isinstance(x, int))
+        missing = [p for p in missing if p != "" and not isinstance(p, int)]
         for at in range(0, len(missing), 20_000):
             self._learn(missing[at : at + 20_000])
-        # A part without ids is the empty one before a blank.
+        # The empty part before a first blank has no ids.
         return [[known[p] for p in one if p != ""] for one in made]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -305,8 +320,20 @@ def lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> Trans
 ENCODED = "doc_id long, ids array<int>, decoded string"
 
 
-def _encoder(tokenizer: str, data: bytes) -> Encoder:
-    return Encoder(Vocabulary(tokenizer), Splitter(tokenizer), Transducer.mapped(data))
+@lru_cache(1)
+def _vocabulary(tokenizer: str) -> Vocabulary:
+    return Vocabulary(tokenizer)
+
+
+#: The encoder of this worker and the run that it belongs to; tasks that a worker gets one after another share it.
+_ENCODER: dict[str, Encoder] = {}
+
+
+def _encoder(run: str, tokenizer: str, data: Broadcast) -> Encoder:
+    if run not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[run] = Encoder(_vocabulary(tokenizer), Splitter(tokenizer), Transducer.mapped(data.value))
+    return _ENCODER[run]
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> DataFrame:
@@ -339,10 +366,10 @@ def _decoded(parts: list[tuple[bytes, str, bytes]]) -> str:
 
 def _run(docs, tokenizer, size, schema, made, types) -> DataFrame:
     data = docs.sparkSession.sparkContext.broadcast(lexicon(docs, tokenizer, size).to_bytes())
-    names = [x.split()[0] for x in schema.split(", ")]
+    names, name = [x.split()[0] for x in schema.split(", ")], uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer, data.value)
+        encoder = _encoder(name, tokenizer, data)
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
