@@ -27,10 +27,14 @@ START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "conv_id long, turn long, role string, text string"
 
 
+_PATH_SIGNS = re.compile(r"[\\.\[]")
+
+
 def paths(value: object, at: str = "") -> set[str]:
-    """Paths of the leaves of a JSON value; elements of a list share a path."""
+    """Paths of the leaves of a JSON value; elements of a list share a path. Signs of paths inside keys are escaped."""
     if isinstance(value, dict):
-        return set().union(*(paths(v, f"{at}.{k}") for k, v in value.items())) if value else {at}
+        below = (paths(v, f"{at}.{_PATH_SIGNS.sub(lambda m: chr(92) + m[0], k)}") for k, v in value.items())
+        return set().union(*below) if value else {at}
     if isinstance(value, list):
         return set().union(*(paths(v, f"{at}[]") for v in value)) if value else {f"{at}[]"}
     return {at}
@@ -82,41 +86,61 @@ def turns_of(record: object, found: str) -> list[tuple[str, str]] | None:
     return made
 
 
+def read_record(text: str | None) -> tuple[list[tuple[int, str, str]] | None, set[str]]:
+    """Turns (turn, role, text) of a record, and the paths of its fields.
+
+    There are no turns (None) if no mapping knows the layout, or if the record is odd, which the paths then say: no JSON
+    or JSON too deep to read, a turn that is neither null nor a whole number of 64 bits, text that is not Unicode."""
+    try:
+        record = json.loads(text or "null")
+        found = paths(record)
+    except RecursionError:
+        return None, {"(too deep)"}
+    except ValueError:
+        return None, {"(no JSON)"}
+    name = fingerprint(found)
+    made = turns_of(record, name)
+    if made is None:
+        return None, found
+    single = "turn" in MAPPINGS[name]
+    first = record["turn"] if single else 0
+    if type(first) is float and first.is_integer():
+        first = int(first)
+    if first is not None and (type(first) is not int or not -(1 << 63) <= first < 1 << 63):
+        return None, {*found, "(turn is no number)"}
+    try:
+        "".join(x for pair in made for x in pair).encode()
+    except UnicodeEncodeError:
+        return None, {*found, "(no Unicode)"}
+    return [(first if single else i, role, said) for i, (role, said) in enumerate(made)], found
+
+
 def canonical_turns(records: DataFrame) -> DataFrame:
-    """Turns of records (conv_id, record as JSON). Records that hold one turn give its number in "turn";
-    others number theirs from 0. Null or broken JSON and unknown layouts give no turn."""
+    """Turns of records (conv_id, record as JSON). Records that hold one turn give its number in "turn"; others number
+    theirs from 0. Null records, unknown layouts and odd records (``read_record``) give no turn, and are counted by
+    ``unmapped``; repeated rows give repeated turns; an empty table gives an empty one; other columns are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for conv, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                try:
-                    record = json.loads(text or "null")
-                except ValueError:
-                    continue
-                found = fingerprint(paths(record))
-                made = turns_of(record, found)
-                single = made and "turn" in MAPPINGS[found]
-                for i, (role, said) in enumerate(made or ()):
-                    out.append((conv, record["turn"] if single else i, role, said))
+                out += [(conv, *turn) for turn in read_record(text)[0] or ()]
             yield _batch(out, TURNS)
 
     return records.select(F.col("conv_id").cast("long"), "record").mapInArrow(run, TURNS)
 
 
 def unmapped(records: DataFrame) -> DataFrame:
-    """How many records have a layout that no mapping knows: fingerprint, paths, records."""
+    """How many records give no turns for their layout or oddness: fingerprint, paths, records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text in batch.column(0).to_pylist():
-                try:
-                    found = paths(json.loads(text or "null"))
-                except ValueError:
-                    found = {"(no JSON)"}
-                if fingerprint(found) not in MAPPINGS:
-                    out.append((fingerprint(found), " ".join(sorted(found))))
+                made, found = read_record(text)
+                if made is None:
+                    listed = " ".join(sorted(found)).encode("utf-8", "backslashreplace").decode()
+                    out.append((fingerprint(found), listed))
             yield _batch(out, "fingerprint string, paths string")
 
     made = records.select("record").mapInArrow(run, "fingerprint string, paths string")

@@ -68,7 +68,7 @@ def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
         day(91).alias("listed_on"),
     )
     captures = pages.select("page_id", "url", day(37).alias("fetched_on"))
-    return url_filters.filter_captures(captures, entries, until="2024-12-31")
+    return url_filters.filter_captures(captures, entries)
 
 
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:

@@ -44,15 +44,14 @@ def intervals(entries: DataFrame) -> DataFrame:
     return one.withColumn("valid_to", F.lead("valid_from").over(order))
 
 
-def filter_captures(captures: DataFrame, entries: DataFrame, until: str) -> DataFrame:
+def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Each capture (page_id, url, fetched_on) with the entry that decided on it.
 
     The entry of the longest matching domain suffix active on the day of the fetch decides; without
-    one the action is 'none'. until: the last day that captures can have; later ones are an error of
-    the caller and match nothing. Rows without URL or date keep their place with action 'none';
-    repeated rows stay repeated. Returns page_id, url, fetched_on, host, pattern, valid_from, action."""
+    one the action is 'none'. Intervals without an end reach to the last day of any capture. Rows without
+    URL or date keep their place with action 'none'; repeated rows stay repeated. Returns page_id, url, fetched_on, host, pattern, valid_from, action."""
     period = lambda day: F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / PERIOD_DAYS)
-    last = F.lit(until).cast("date")
+    last = F.lit(captures.agg(F.max(F.col("fetched_on").cast("date"))).first()[0]).cast("date")
     pieces = intervals(entries).where(F.col("valid_from") <= last).select(
         F.col("pattern"), "action", "valid_from", "valid_to",
         F.explode(F.sequence(

@@ -45,6 +45,27 @@ def test_chat_layouts(llm):
     assert chat.digest(chat.format_chats(chat.canonical_turns(df.limit(0)))).count() == 0
 
 
+def test_chat_odd_records(llm):
+    turn = '{"role": "user", "text": "t", "turn": %s}'
+    odd = [
+        turn % '"x"', turn % "1.5", turn % "true", turn % str(1 << 63), '{"prompt": "\\ud800", "completion": "c"}', "[" * 200_000,
+        "[" * 5000 + "]" * 5000, '{"messages[]": {"role": "a", "content": "b"}}', '{"messages.x": 1, "\\ud800": 2}', "1" * 5000, "null", "",
+    ]
+    good = [turn % "2", turn % "2", turn % "3.0", turn % "null", turn % str(-(1 << 63)), '{"prompt": "\\ud83d\\ude42", "completion": "%s"}' % ("x" * 3_000_000)]
+    df = llm.createDataFrame([(i, r, "z", 9) for i, r in enumerate(odd + good)], "conv_id long, record string, text string, turn long")
+    got = sorted((r.conv_id, -1 if r.turn is None else r.turn, r.role, len(r.text)) for r in chat.canonical_turns(df).collect())
+    n = len(odd)
+    assert got == [
+        (n, 2, "user", 1), (n + 1, 2, "user", 1), (n + 2, 3, "user", 1), (n + 3, -1, "user", 1), (n + 4, -(1 << 63), "user", 1),
+        (n + 5, 0, "user", 1), (n + 5, 1, "assistant", 3_000_000),
+    ]
+    assert sum(r.records for r in chat.unmapped(df).collect()) == len(odd)
+    # Repeated rows and other columns, and a turn that is far longer than a batch.
+    turns = llm.createDataFrame([(1, 1, "user", "u", 5), (1, 1, "user", "u", 6), (1, 2, "assistant", "a" * 2_000_000, 7)], "conv_id long, turn long, role string, text string, formatted long")
+    out = chat.digest(chat.format_chats(turns)).first()
+    assert (out.n_turns, out.loss_chars) == (3, 2_000_000)
+
+
 def test_packing_places_every_piece_once(llm):
     docs = DOCS + [(1000 + i, prose(i, i % 90)) for i in range(300)]
     got = packing.pack(frame(llm, docs), WORD, 64).collect()
@@ -242,7 +263,7 @@ def test_lm_probabilities_sum_to_one():
 def test_url_lists(llm):
     pages = [
         (1, "http://A.b.example.com/x", "2024-01-10"), (2, "https://u@c.example.com:80", "2024-01-10"), (3, "http://c.example.com", "2024-01-04"),
-        (4, "no url", "2024-01-10"), (5, None, "2024-01-10"), (6, "http://x.org", None), (7, "http://b.example.com.", "2024-03-01"), (7, "http://b.example.com.", "2024-03-01"),
+        (4, "no url", "2024-01-10"), (5, None, "2024-01-10"), (6, "http://x.org", None), (7, "http://b.example.com.", "2024-03-01"), (7, "http://b.example.com.", "2024-03-01"), (8, "http://d.example.com", "2031-05-05"),
     ]
     entries = [
         ("example.com", "block", "2024-01-05"), ("b.example.com", "allow", "2024-01-08"), ("b.example.com", "block", "2024-02-01"),
@@ -250,9 +271,9 @@ def test_url_lists(llm):
     ]
     df = llm.createDataFrame(pages, "page_id long, url string, d string").selectExpr("*", "CAST(d AS date) AS fetched_on", "'z' AS pattern")
     listed = llm.createDataFrame(entries, "pattern string, action string, d string").selectExpr("*", "CAST(d AS date) AS listed_on")
-    got = rows(url_filters.filter_captures(df, listed, "2024-12-31"), "page_id", "pattern", "action")
+    got = rows(url_filters.filter_captures(df, listed), "page_id", "pattern", "action")
     assert got == [
         (1, "b.example.com", "allow"), (2, "example.com", "block"), (3, None, "none"), (4, None, "none"), (5, None, "none"), (6, None, "none"),
-        (7, "b.example.com", "block"), (7, "b.example.com", "block"),
+        (7, "b.example.com", "block"), (7, "b.example.com", "block"), (8, "example.com", "block"),
     ]
-    assert url_filters.filter_captures(df.limit(0), listed, "2024-12-31").count() == 0
+    assert url_filters.filter_captures(df.limit(0), listed).count() == 0
