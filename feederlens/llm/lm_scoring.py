@@ -30,7 +30,7 @@ KNOWN = 1 << 18
 VOCABULARY = 1 << 17
 TABLE_BITS = 20
 #: Bits that are predicted together while learning.
-STEP_BITS = 400_000
+STEP_BITS = 20_000
 #: Words of texts that are scored together.
 STEP_WORDS = 60_000
 SEEN_KINDS = 14
