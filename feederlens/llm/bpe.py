@@ -26,13 +26,16 @@ from feederlens.llm.merges import Remembered, Vocabulary, byte_symbols
 
 #: The pattern that splits a text before the merges of a byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same for texts of ASCII, where blanks are six characters, and the parts that are one word by it.
+ASCII_PATTERN = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+""", re.ASCII)
+ONE_WORD = re.compile(r" ?(?:[A-Za-z]+|[0-9]+)")
 #: Below this code point all versions of Unicode agree on what is a letter; other texts are split by the library.
 SETTLED = "\u0530"
 LEXICON_WORDS = 150_000
 #: Words of more characters are merged where they occur; the lexicon has none.
 WORD_CHARS = 64
 #: Different parts of texts that a task counts before it hands their words on.
-COUNTED_PARTS = 200_000
+COUNTED_PARTS = 400_000
 #: Parts of texts whose ids a task remembers, at most.
 CACHE_PARTS = 300_000
 
@@ -156,11 +159,12 @@ class Splitter:
         self.find, self.path, self.library = regex.compile(PATTERN).findall, tokenizer, None
         self.odd_blank = re.compile(r" (?:\s|\Z)").search
         self.symbols = byte_symbols()
+        self.find_ascii, self.one_word = ASCII_PATTERN.findall, ONE_WORD.fullmatch
 
     def split(self, text: str) -> list[str]:
-        if text.isascii() and (text.isalpha() or (text[:1] == " " and text[1:].isalpha())):
-            return [text]
-        if text.isascii() or max(text) < SETTLED:
+        if text.isascii():
+            return self.find_ascii(text)
+        if max(text) < SETTLED:
             return self.find(text)
         if self.library is None:
             from tokenizers import Tokenizer
@@ -224,7 +228,8 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         """Ids of parts not seen lately: look their words up, merge those that the lexicon lacks."""
-        cut = [self.splitter.split(p) for p in parts]
+        split, one_word = self.splitter.split, self.splitter.one_word
+        cut = [[p] if one_word(p) else split(p) for p in parts]
         words = list({w for some in cut for w in some})
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         found: list[bytes | None] = [None if x is None else x.tobytes() for x in self.lexicon.look_up(raw)]
@@ -273,9 +278,13 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         def counted() -> pa.RecordBatch:
             counts: Counter = Counter()
+            one_word, split = splitter.one_word, splitter.split
             for part, n in parts.items():
-                for word in splitter.split(part) if part else ():
-                    counts[word] += n
+                if one_word(part):
+                    counts[part] += n
+                elif part:
+                    for word in split(part):
+                        counts[word] += n
             parts.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]

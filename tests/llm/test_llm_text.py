@@ -153,7 +153,7 @@ def test_frequent_words_come_by_whole_classes(llm):
 
 def test_bpe_parts_join_to_the_text(encoders):
     own, library, *_ = encoders
-    texts = [" a  b", "a\0 b c", "a b\n c ", "", None, "<|endoftext|> a<|endoftext|>", "ab'll d'll"] * 2
+    texts = [" a  b", "a\0 b c", "a b\n c ", "", None, "<|endoftext|> a<|endoftext|>", "ab'll d'll", "a\x1cb \x1f c\x85d\x0b\x0c e_1 2x", "".join(map(chr, range(128)))] * 2
     for text, parts in zip(texts, own.entries(texts), strict=True):
         assert b"".join(p[2] for p in parts).decode() == (text or "")
         assert ",".join(p[1] for p in parts) == ",".join(map(str, library.encode(text or "", add_special_tokens=False).ids))
