@@ -9,7 +9,7 @@ flipped, or none, on the other."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,15 @@ BITS = 64
 SEED = 42
 
 
+def majority(hashes: Sequence[int] | np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    set_bits = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        some = np.array(hashes[at : at + (1 << 16)], "<u8").view(np.uint8).reshape(-1, 8)
+        set_bits += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, k: int = 4) -> int:
     """SimHash of the k-word shingles, each as often as it occurs; 0 for a text without words."""
     import xxhash
@@ -37,11 +46,7 @@ def fingerprint(text: str | None, k: int = 4) -> int:
         starts = [0, *ends[: len(found) - k].tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(line[a:b], SEED) for a, b in zip(starts, (ends[k - 1 :] - 1).tolist(), strict=True)]
-    set_bits = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        some = np.array(hashes[at : at + (1 << 16)], "<u8").view(np.uint8).reshape(-1, 8)
-        set_bits += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, k: int = 4) -> DataFrame:

@@ -1,10 +1,13 @@
-"""Near copies by exact similarity of word shingles: all pairs with |A & B| >= share * |A | B|.
+"""Near copies by SimHash and an exact check of word shingles: groups of all pairs with |A & B| >= share * |A | B|.
 
-Shingles are put in one order for all texts: those in heavy slots of a count come last, the others by their hash. Two
-similar sets then share one of their first n - ceil(share * n) + 1 shingles, whatever the order, so these are the
-join keys and no pair is missed. Pairs lose those whose sizes or positions rule the share out, then those whose
-parity bits differ in more places than the sets may; the rest is compared whole. As only groups are asked for, each
-text is first compared with one other of its keys, and pairs inside a group that this finds are left out."""
+Sets of shingles get 64-bit SimHash fingerprints. Those that differ in LIMIT bits or fewer are found by pigeonring
+chains and make groups, and each set is checked with the first of its group. Similar sets may differ in more bits, so
+there is an exact way for the rest. Shingles are put in one order for all texts: those in heavy slots of a count come
+last, the others by their hash. Two similar sets then share one of their first n - ceil(share * n) + 1 shingles,
+whatever the order, so these are the join keys and no pair is missed. As only groups are asked for, each text is first
+checked with one other of its keys; pairs inside a group that fingerprints or keys have found are left out. Pairs lose those whose sizes or
+positions rule the share out, then those whose parity bits differ in more places than the sets may; the rest is
+compared whole."""
 
 from __future__ import annotations
 
@@ -16,8 +19,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from feederlens.llm.common import discard, join_unique, spread, staged, words
 from feederlens.llm.components import components
+from feederlens.llm.simhash import links, majority
 
 WORDS, SHARE = 5, (4, 5)
+#: Bits in which fingerprints of candidates may differ. It only saves comparing pairs of keys.
+LIMIT = 4
 #: Slots of the count that tells frequent shingles. It only orders them, so collisions cost time and no pairs.
 SLOT_BITS = 20
 BLOCK_SLOTS = 8192
@@ -148,7 +154,7 @@ def _heavy(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: the name of its set, its size and parity bits, and two hashes of the text."""
+    """Per row: the name of its set, its size, parity bits and fingerprint, and two hashes of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(k)
@@ -157,12 +163,25 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(np.array([_name(h) for h in found], np.uint64).view(np.int64)),
                 pa.array([len(h) for h in found], pa.int64()), pa.array([parity(h) for h in found], pa.binary()),
-                batch.column(2), batch.column(3),
-            ], ["doc_id", "s", "n", "bits", "m1", "m2"])
+                pa.array(np.array([majority(h) for h in found], np.uint64).view(np.int64)), batch.column(2), batch.column(3),
+            ], ["doc_id", "s", "n", "bits", "fp", "m1", "m2"])
 
     marks = F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2")
     rows = docs.select(F.col("doc_id").cast("long"), "text", *marks)
-    return rows.mapInArrow(run, "doc_id long, s long, n long, bits binary, m1 long, m2 long")
+    return rows.mapInArrow(run, "doc_id long, s long, n long, bits binary, fp long, m1 long, m2 long")
+
+
+def _alike(sets: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Pairs (a, b): the first set of each group of fingerprints that links of limit bits or fewer make, and another of it."""
+    firsts = staged(sets.where("n > 0").groupBy("fp").agg(F.min("s").alias("first")), "fingerprints")
+    found = components(links(firsts.select("fp"), limit)).withColumnsRenamed({"node": "fp", "component": "group"})
+    named = staged(firsts.join(found, "fp", "left").withColumn("group", F.coalesce("group", "fp")), "near-fingerprints")
+    hubs = named.groupBy("group").agg(F.min("first").alias("a"))
+    hubs = join_unique(named, hubs, ["group"], spread("fp")).select("fp", "a")
+    pairs = join_unique(sets.where("n > 0").select("s", "fp"), hubs, ["fp"], spread("s")).where("a != s")
+    out = staged(pairs.select("a", F.col("s").alias("b")), "alike")
+    discard(firsts, named)
+    return out
 
 
 def _prefixes(docs: DataFrame, k: int, share: tuple[int, int], heavy) -> DataFrame:
@@ -312,17 +331,19 @@ def similar_groups(docs: DataFrame, k: int = WORDS, share: tuple[int, int] = SHA
     are so among each other. Null doc_ids count in no minimum; an empty table gives an empty one."""
     context = docs.sparkSession.sparkContext
     marks = staged(_sets(docs, k), "sets")
-    sets = staged(marks.select("s", "n", "bits", "m1", "m2").dropDuplicates(["s"]), "distinct-sets")
+    sets = staged(marks.select("s", "n", "bits", "fp", "m1", "m2").dropDuplicates(["s"]), "distinct-sets")
+    alike = _alike(sets)
     heavy = context.broadcast(_heavy(docs, k).tobytes())
     by = Window.partitionBy("key").orderBy("s")
     rows = _prefixes(docs, k, share, heavy).withColumn("before", F.lag("s").over(by)).where("before IS NULL OR before != s")
     rows = rows.withColumn("low", F.first("s").over(by)).withColumn("after", F.lead("s").over(by))
     met = staged(rows.where("low != s OR after IS NOT NULL").select("key", "s", "n", "at", "low"), "met")
-    # First each with one other of its keys, the one that it meets most often.
+    # First each with one of its fingerprint's group, and one other of its keys, the one that it meets most often.
     stars = met.where("low != s").groupBy("s", "low").agg(F.count(F.lit(1)).alias("n"))
     stars = stars.groupBy("s").agg(F.max(F.struct("n", "low")).alias("m")).select(F.col("m.low").alias("a"), F.col("s").alias("b"))
-    first = _similar(stars, docs, sets, k, share)
+    first = _similar(stars.union(alike).distinct(), docs, sets, k, share)
     groups = _grouped(sets, first)
+    discard(alike)
     rest = staged(_possible(join_unique(met, groups, ["s"], spread("key")), share), "possible")
     discard(met, groups)
     more = _similar(rest, docs, sets, k, share)

@@ -72,3 +72,39 @@ def test_parity_bits_never_say_too_much():
         pool = rnd.integers(0, 2**63, 3000).astype(np.uint64)
         a, b = (np.unique(rnd.choice(pool, rnd.integers(1, 2000))) for _ in range(2))
         assert similar.apart(similar.parity(a), similar.parity(b)) <= len(np.setxor1d(a, b))
+
+
+def test_stage_takes_candidates_from_simhash(llm, monkeypatch):
+    from corpus_pipeline import drop_near_copies
+
+    asked, alike = [], similar._alike
+
+    def seen(sets, *more):
+        pairs = alike(sets, *more)
+        asked.append(({r.s: r.fp for r in sets.collect() if r.n}, {(r.a, r.b) for r in pairs.collect()}))
+        return pairs
+
+    monkeypatch.setattr(similar, "_alike", seen)
+    docs = [(100 * i + n, edited(prose(i, 300, 900), 150, n) if n else prose(i, 300, 900)) for i in range(8) for n in range(12)]
+    left = drop_near_copies(llm, frame(llm, docs), "")
+    assert sorted({r.doc_id for r in left.collect()}) == survivors(docs)
+
+    [(marks, pairs)] = asked
+    made = similar.Shingles(similar.WORDS)
+    for _, text in docs:
+        hashes = [int(h) for h in made.of(text)]
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert marks[np.uint64(similar._name(made.of(text))).astype(np.int64)] % 2**64 == bits
+    root = {s: s for s in marks}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, x in marks.items():
+        for b, y in marks.items():
+            if ((x ^ y) % 2**64).bit_count() <= 4:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    assert pairs == {(find(s), s) for s in marks if find(s) != s} and pairs
