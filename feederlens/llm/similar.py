@@ -5,7 +5,8 @@ chains and make groups, and each set is checked with the first of its group. Sim
 there is an exact way for the rest. Shingles are put in one order for all texts: those in heavy slots of a count come
 last, the others by their hash. Two similar sets then share one of their first n - ceil(share * n) + 1 shingles,
 whatever the order, so these are the join keys and no pair is missed. As only groups are asked for, each text is first
-checked with one other of its keys; pairs inside a group that fingerprints or keys have found are left out. Pairs lose those whose sizes or
+checked with the set that has fewest shingles before a key of both, which of a family is the one with fewest words of
+its own; pairs inside a group that fingerprints or keys have found are left out. Pairs lose those whose sizes or
 positions rule the share out, then those whose parity bits differ in more places than the sets may; the rest is
 compared whole."""
 
@@ -227,8 +228,8 @@ def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
             for i in range(len(rows) - int(counts.max())):
                 _, s, c, n, at = rows[i]
                 rest = rows[i + 1 :]
-                # Common shingles from the key on, and those that may stand before it.
-                most = np.minimum(n - at, rest[:, 3] - rest[:, 4]) + np.minimum(at, rest[:, 4])
+                # Common shingles from the key on. Nothing common stands before the first key of a pair, where it is found.
+                most = np.minimum(n - at, rest[:, 3] - rest[:, 4])
                 fits = (rest[:, 2] != c) & (most >= least_common(n, rest[:, 3], share))
                 fits &= np.minimum(n, rest[:, 3]) * share[1] >= np.maximum(n, rest[:, 3]) * share[0]
                 partners = rest[fits, 1]
@@ -334,7 +335,7 @@ def similar_groups(docs: DataFrame, k: int = WORDS, share: tuple[int, int] = SHA
     sets = staged(marks.select("s", "n", "bits", "fp", "m1", "m2").dropDuplicates(["s"]), "distinct-sets")
     alike = _alike(sets)
     heavy = context.broadcast(_heavy(docs, k).tobytes())
-    by = Window.partitionBy("key").orderBy("s")
+    by = Window.partitionBy("key").orderBy("at", "s")
     rows = _prefixes(docs, k, share, heavy).withColumn("before", F.lag("s").over(by)).where("before IS NULL OR before != s")
     rows = rows.withColumn("low", F.first("s").over(by)).withColumn("after", F.lead("s").over(by))
     met = staged(rows.where("low != s OR after IS NOT NULL").select("key", "s", "n", "at", "low"), "met")

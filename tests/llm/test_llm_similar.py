@@ -108,3 +108,28 @@ def test_stage_takes_candidates_from_simhash(llm, monkeypatch):
                 low, high = sorted((find(a), find(b)))
                 root[high] = low
     assert pairs == {(find(s), s) for s in marks if find(s) != s} and pairs
+
+
+def test_pairs_of_a_large_family_grow_with_its_size(llm, monkeypatch):
+    from corpus_pipeline import drop_near_copies
+
+    rnd, base, pairs = random.Random(5), prose(4242, 150, 900).split(), []
+
+    def copy(n):
+        found = list(base)
+        for i in rnd.sample(range(len(found)), rnd.randrange(1, 15)):
+            found[i] = f"own{n}x{i}"
+        return " ".join(found)
+
+    def counted(df, name, staged=similar.staged):
+        made = staged(df, name)
+        if name in ("possible", "likely"):
+            pairs.append(made.count())
+        return made
+
+    monkeypatch.setattr(similar, "staged", counted)
+    for n in (150, 450):
+        docs = [(1, " ".join(base))] + [(10 + i, copy(1000 * n + i)) for i in range(n)]
+        left = drop_near_copies(llm, frame(llm, docs), "")
+        assert sorted({r.doc_id for r in left.collect()}) == survivors(docs)
+        assert max(pairs) <= 4 * n, pairs
