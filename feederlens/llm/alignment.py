@@ -69,6 +69,15 @@ def bytes_before(text: str) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
 
 
+def byte_spans(sizes: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Spans in bytes of tokens that decode to the text. A token that ends within a character ends before it, so a
+    character's last byte has it whole and the bytes before that have nothing."""
+    heads = (np.frombuffer(raw + b" ", np.uint8) & 0xC0) != 0x80
+    before = np.maximum.accumulate(np.where(heads, np.arange(len(heads)), 0))
+    end = np.minimum(np.cumsum(sizes), len(raw))
+    return before[np.maximum(end - sizes, 0)], before[end]
+
+
 class Side:
     """One tokenizer's tokens of a text as arrays: ids, spans in bytes, and where their decoded bytes end."""
 
@@ -161,10 +170,9 @@ class Aligner:
         if len(raw) != len(ours):
             spans = bytes_before(ours)[spans]
         a = Side(np.array(found.ids, np.int64), *spans.T, self.tokens.a_bytes, self.a_size, raw)
-        # Protos hold spans in bytes; the blank that B adds is no part of them.
-        pieces = self.tokens.b.encode(theirs, return_type="proto").pieces
-        numbers = [np.fromiter(x, np.int64, len(pieces)) for x in ((p.id for p in pieces), (p.begin for p in pieces), (p.end for p in pieces))]
-        b = Side(numbers[0], numbers[1] + 1, numbers[2] + 1, self.tokens.b_bytes, self.b_size, raw)
+        # B's ids alone come at a third of the cost of its protos, whose spans follow from the decoded bytes.
+        ids = np.array(self.tokens.b.encode(theirs), np.int64)
+        b = Side(ids, *byte_spans(self.b_size[ids], raw), self.tokens.b_bytes, self.b_size, raw)
         if a.good and b.good:
             return [(parts, *self._linked(parts, a, b))]
         if len(parts) > 1:

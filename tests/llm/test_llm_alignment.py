@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import public_tokenizers
 from llm_rows import DOCS, empty, frame, rows
@@ -99,3 +100,14 @@ def test_groups_are_kept_and_empty_tables_pass(llm):
     got = alignment.align(frame(llm, [(1, "naïve 🙂")]), A, B).first()
     assert hashlib.sha256(got.groups.encode()).hexdigest() == got.groups_sha256
     assert alignment.align(empty(llm), A, B).count() == 0
+
+
+def test_spans_from_ids_are_those_of_the_library():
+    tokens = alignment.Tokens(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    sizes = np.array([len(x) for x in tokens.b_bytes])
+    for text in ("plain words here", "日本語 é ½", "\U0001F600\U00012000x", "ñ한글‍\x00  ", "<0x41></s>"):
+        ids = np.array(tokens.b.encode(text))
+        start, end = alignment.byte_spans(sizes[ids], (" " + text).encode())
+        pieces = tokens.b.encode(text, return_type="proto").pieces
+        assert ids.tolist() == [p.id for p in pieces]
+        assert end.tolist()[1:] == [p.end + 1 for p in pieces][1:] and start.tolist()[1:] == [max(1, p.begin + 1) for p in pieces][1:]
