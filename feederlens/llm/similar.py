@@ -6,9 +6,9 @@ there is an exact way for the rest. Shingles are put in one order for all texts:
 last, the others by their hash. Two similar sets then share one of their first n - ceil(share * n) + 1 shingles,
 whatever the order, so these are the join keys and no pair is missed. As only groups are asked for, each text is first
 checked with the set that has fewest shingles before a key of both, which of a family is the one with fewest words of
-its own; pairs inside a group that fingerprints or keys have found are left out. Pairs lose those whose sizes or
-positions rule the share out, then those whose parity bits differ in more places than the sets may; the rest is
-compared whole."""
+its own; pairs inside a group that fingerprints or keys have found are left out. Pairs whose sizes,
+positions or short parity bits rule the share out are dropped where they meet, then those whose parity bits differ
+in more places than the sets may; the rest is compared whole."""
 
 from __future__ import annotations
 
@@ -27,6 +27,8 @@ WORDS, SHARE = 5, (4, 5)
 LIMIT = 4
 #: Slots of the count that tells frequent shingles. It only orders them, so collisions cost time and no pairs.
 SLOT_BITS = 20
+#: Parity bits that travel with a key, at most; all of them are compared later.
+SHORT_BITS = 512
 BLOCK_SLOTS = 8192
 #: A slot is heavy with so many occurrences, and so many times more than the average.
 LEAST_HEAVY, TIMES_AVERAGE = 16, 4
@@ -89,14 +91,23 @@ def parity(hashes: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def short(bits: bytes) -> bytes:
+    """Parity bits of a smaller size, so that they can travel with each key of a set."""
+    return _folded(np.frombuffer(bits, np.uint8), SHORT_BITS // 8).tobytes()
+
+
 def apart(a: bytes, b: bytes) -> int:
     """Sets differ in so many shingles at least."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
     if len(x) > len(y):
         x, y = y, x
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    return int(np.bitwise_count(x ^ _folded(y, len(x))).sum())
 
 
 def _name(hashes: np.ndarray) -> int:
@@ -155,21 +166,22 @@ def _heavy(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: the name of its set, its size, parity bits and fingerprint, and two hashes of the text."""
+    """Per row: the name of its set, its size, parity bits, short ones and fingerprint, and two hashes of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(k)
         for batch in batches:
             found = [shingles.of(t) for t in batch.column(1).to_pylist()]
+            bits = [parity(h) for h in found]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(np.array([_name(h) for h in found], np.uint64).view(np.int64)),
-                pa.array([len(h) for h in found], pa.int64()), pa.array([parity(h) for h in found], pa.binary()),
+                pa.array([len(h) for h in found], pa.int64()), pa.array(bits, pa.binary()), pa.array([short(b) for b in bits], pa.binary()),
                 pa.array(np.array([majority(h) for h in found], np.uint64).view(np.int64)), batch.column(2), batch.column(3),
-            ], ["doc_id", "s", "n", "bits", "fp", "m1", "m2"])
+            ], ["doc_id", "s", "n", "bits", "short", "fp", "m1", "m2"])
 
     marks = F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2")
     rows = docs.select(F.col("doc_id").cast("long"), "text", *marks)
-    return rows.mapInArrow(run, "doc_id long, s long, n long, bits binary, fp long, m1 long, m2 long")
+    return rows.mapInArrow(run, "doc_id long, s long, n long, bits binary, short binary, fp long, m1 long, m2 long")
 
 
 def _alike(sets: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -215,24 +227,51 @@ def _prefixes(docs: DataFrame, k: int, share: tuple[int, int], heavy) -> DataFra
     return docs.select("text").mapInArrow(run, "key long, s long, n int, at int")
 
 
+def halves(bits: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Short parity bits as rows of words, the same for half the size, and how many words are used."""
+    used = np.array([len(b) // 8 for b in bits], np.int64)
+    own = np.frombuffer(b"".join([b.ljust(SHORT_BITS // 8, b"\0") for b in bits]), np.uint64).reshape(len(bits), -1)
+    half = own.copy()
+    for w in set(used.tolist()) - {1}:
+        at = used == w
+        half[at, : w // 2] ^= half[at, w // 2 : w]
+        half[at, w // 2 : w] = 0
+    return own, half, used
+
+
 def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of different groups (column c) that share a key and may be similar by sizes and positions."""
+    """Pairs (a, b) of different groups (column c) that share a key and may be similar by sizes, positions and parity
+    bits. Bits are compared where the key is, so pairs that only share common phrases are never listed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[np.ndarray] = []
 
-        def pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
+        def pairs(rows: np.ndarray, bits: list[bytes]) -> Iterator[np.ndarray]:
             groups, of, counts = np.unique(rows[:, 2], return_inverse=True, return_counts=True)
+            if len(groups) == 1:
+                return
             # Rows of the largest group are compared with the others only.
-            rows = rows[np.argsort(of == counts.argmax(), kind="stable")]
+            order = np.argsort(of == counts.argmax(), kind="stable")
+            rows = rows[order]
+            own = None
             for i in range(len(rows) - int(counts.max())):
                 _, s, c, n, at = rows[i]
                 rest = rows[i + 1 :]
                 # Common shingles from the key on. Nothing common stands before the first key of a pair, where it is found.
-                most = np.minimum(n - at, rest[:, 3] - rest[:, 4])
-                fits = (rest[:, 2] != c) & (most >= least_common(n, rest[:, 3], share))
+                least = least_common(n, rest[:, 3], share)
+                fits = (rest[:, 2] != c) & (np.minimum(n - at, rest[:, 3] - rest[:, 4]) >= least)
                 fits &= np.minimum(n, rest[:, 3]) * share[1] >= np.maximum(n, rest[:, 3]) * share[0]
-                partners = rest[fits, 1]
+                j = np.flatnonzero(fits)
+                if not len(j):
+                    continue
+                if own is None:
+                    own, half, used = halves([bits[x] for x in order.tolist()])
+                k = i + 1 + j
+                x = np.where((used[k] < used[i])[:, None], half[i], own[i]) ^ np.where((used[k] > used[i])[:, None], half[k], own[k])
+                near = np.bitwise_count(x).sum(1, dtype=np.int64) <= n + rest[j, 3] - 2 * least[j]
+                # With a share of a half or more, one has as many bits as the other, or twice as many.
+                near |= (used[k] > 2 * used[i]) | (2 * used[k] < used[i])
+                partners = rest[j[near], 1]
                 if len(partners):
                     yield np.stack([np.minimum(partners, s), np.maximum(partners, s)], 1)
 
@@ -240,18 +279,19 @@ def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
             both = np.unique(np.concatenate(found), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
-        held = np.zeros((0, 5), np.int64)
+        held, kept = np.zeros((0, 5), np.int64), []
         for batch in batches:
             rows = np.concatenate([held, np.stack([batch.column(i).to_numpy() for i in range(5)], 1)])
+            bits = kept + batch.column(5).to_pylist()
             starts = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1])
-            held = rows[starts[-1] :]
+            held, kept = rows[starts[-1] :], bits[starts[-1] :]
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                out += pairs(rows[a:b])
+                out += pairs(rows[a:b], bits[a:b])
                 if len(out) > 20_000:
                     yield batch_of(out)
                     out = []
         if len(held):
-            for found in pairs(held):
+            for found in pairs(held, kept):
                 out.append(found)
                 if len(out) > 20_000:
                     yield batch_of(out)
@@ -259,7 +299,7 @@ def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
         if out:
             yield batch_of(out)
 
-    rows = met.select("key", "s", "c", F.col("n").cast("long"), F.col("at").cast("long"))
+    rows = met.select("key", "s", "c", F.col("n").cast("long"), F.col("at").cast("long"), "short")
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -332,7 +372,7 @@ def similar_groups(docs: DataFrame, k: int = WORDS, share: tuple[int, int] = SHA
     are so among each other. Null doc_ids count in no minimum; an empty table gives an empty one."""
     context = docs.sparkSession.sparkContext
     marks = staged(_sets(docs, k), "sets")
-    sets = staged(marks.select("s", "n", "bits", "fp", "m1", "m2").dropDuplicates(["s"]), "distinct-sets")
+    sets = staged(marks.select("s", "n", "bits", "short", "fp", "m1", "m2").dropDuplicates(["s"]), "distinct-sets")
     alike = _alike(sets)
     heavy = context.broadcast(_heavy(docs, k).tobytes())
     by = Window.partitionBy("key").orderBy("at", "s")
@@ -345,7 +385,9 @@ def similar_groups(docs: DataFrame, k: int = WORDS, share: tuple[int, int] = SHA
     first = _similar(stars.union(alike).distinct(), docs, sets, k, share)
     groups = _grouped(sets, first)
     discard(alike)
-    rest = staged(_possible(join_unique(met, groups, ["s"], spread("key")), share), "possible")
+    # A set has no more rows than its text has words, so nothing is salted.
+    known = groups.join(sets.select("s", "short"), "s")
+    rest = staged(_possible(met.join(known, "s"), share), "possible")
     discard(met, groups)
     more = _similar(rest, docs, sets, k, share)
     discard(rest)

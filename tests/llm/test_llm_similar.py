@@ -133,3 +133,41 @@ def test_pairs_of_a_large_family_grow_with_its_size(llm, monkeypatch):
         left = drop_near_copies(llm, frame(llm, docs), "")
         assert sorted({r.doc_id for r in left.collect()}) == survivors(docs)
         assert max(pairs) <= 4 * n, pairs
+
+
+def test_texts_that_only_share_a_phrase_make_no_pairs(llm, monkeypatch):
+    from corpus_pipeline import drop_near_copies
+
+    pairs = []
+
+    def counted(df, name, staged=similar.staged):
+        made = staged(df, name)
+        if name == "possible":
+            pairs.append(made.count())
+        return made
+
+    monkeypatch.setattr(similar, "staged", counted)
+    # No shingle is heavy here, so many of the phrase's stand among the first of each text.
+    monkeypatch.setattr(similar, "LEAST_HEAVY", 10_000)
+    phrase = prose(78, 40, 900)
+    docs = [(i, " ".join([prose(3000 + i, 150 + 2 * i, 900), phrase, prose(4000 + i, 60, 900)])) for i in range(70)]
+    docs += [(500 + i, edited(docs[i][1], 60, i)) for i in range(0, 70, 7)]
+    left = drop_near_copies(llm, frame(llm, docs), "")
+    assert sorted({r.doc_id for r in left.collect()}) == survivors(docs)
+    assert len(pairs) == 1 and pairs[0] <= 2 * len(docs)
+
+
+def test_short_parity_bits_never_say_too_much(llm):
+    rnd = np.random.default_rng(4)
+    pool = rnd.integers(0, 2**63, 3000).astype(np.uint64)
+    for share in ((4, 5), (1, 2), (1, 4)):
+        rows, want = [], set()
+        made = [np.unique(rnd.choice(pool, n)) for n in rnd.integers(20, 1200, 30)]
+        made += [np.unique(np.concatenate([a[: len(a) * 9 // 10], rnd.choice(pool, len(a) // 20)])) for a in made]
+        for i, a in enumerate(made):
+            bits = similar.short(similar.parity(a))
+            assert len(bits) <= similar.SHORT_BITS // 8
+            rows.append((1, i, i, len(a), 0, bytearray(bits)))
+            want |= {(j, i) for j, b in enumerate(made[:i]) if len(np.intersect1d(a, b)) * share[1] >= len(np.union1d(a, b)) * share[0]}
+        met = llm.createDataFrame(rows, "key long, s long, c long, n int, at int, short binary")
+        assert want <= {(r.a, r.b) for r in similar._possible(met, share).collect()} and want
