@@ -1,5 +1,6 @@
 """Passages of more than fifty words that recur, against brute force."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -54,3 +55,25 @@ def test_stage_cuts_passages_of_over_fifty_words(llm, monkeypatch, per_key):
     got = sorted((r.m1, r.text) for r in left.collect())
     assert got == list(enumerate(plain(docs)))
     assert cut_repeats(llm, empty(llm), "").count() == 0
+
+
+def test_counted_windows_that_are_neighbours_make_one_span(llm):
+    body, lone = (bytes(random.Random(11).choices(letters, k=60)) for letters in (range(97, 122), range(65, 90)))
+    # The second text has windows 0 to 10 and 20 to 35 of the first one.
+    mixed = body[:30] + lone[:14] + body[20:55]
+    rows = [(1, sub, 1, sub, 0, len(b) - 19, False, 1, bytearray(b)) for sub, b in ((1, body), (2, mixed), (3, lone))]
+    found = {r.sub: list(r.spans) for r in repeats._counted(llm.createDataFrame(rows, repeats.SLICES), 20).collect()}
+    assert found == {1: [0, 11, 20, 36], 2: [0, 11, 44, 60]}
+
+
+def test_wide_rows_are_repeated_for_salts_in_use_only(llm):
+    from pyspark.sql import functions as F
+
+    from feederlens.llm.common import join_wide, spread
+
+    left = llm.range(300).selectExpr("id", "IF(id < 100, 7, id) AS k")
+    right = llm.range(0, 300, 2).selectExpr("id AS k", "id * 10 AS v").union(llm.createDataFrame([(7, 70)], "k long, v long"))
+    want = sorted((i, 70 if i < 100 else 10 * i) for i in range(300) if i < 100 or i % 2 == 0)
+    assert sorted((r.id, r.v) for r in join_wide(left, right, ["k"], spread("id")).collect()) == want
+    every = join_wide(left, right, ["k"], spread("id"), "left")
+    assert every.count() == 300 and every.where(F.col("v").isNull()).count() == 300 - len(want)
