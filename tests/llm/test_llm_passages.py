@@ -61,7 +61,7 @@ def test_counted_windows_that_are_neighbours_make_one_span(llm):
     body, lone = (bytes(random.Random(11).choices(letters, k=60)) for letters in (range(97, 122), range(65, 90)))
     # The second text has windows 0 to 10 and 20 to 35 of the first one.
     mixed = body[:30] + lone[:14] + body[20:55]
-    rows = [(1, sub, 1, sub, 0, len(b) - 19, False, 1, bytearray(b)) for sub, b in ((1, body), (2, mixed), (3, lone))]
+    rows = [(1, sub, 1, sub, [0], len(b) - 19, False, 1, bytearray(b)) for sub, b in ((1, body), (2, mixed), (3, lone))]
     found = {r.sub: list(r.spans) for r in repeats._counted(llm.createDataFrame(rows, repeats.SLICES), 20).collect()}
     assert found == {1: [0, 11, 20, 36], 2: [0, 11, 44, 60]}
 
@@ -77,3 +77,13 @@ def test_wide_rows_are_repeated_for_salts_in_use_only(llm):
     assert sorted((r.id, r.v) for r in join_wide(left, right, ["k"], spread("id")).collect()) == want
     every = join_wide(left, right, ["k"], spread("id"), "left")
     assert every.count() == 300 and every.where(F.col("v").isNull()).count() == 300 - len(want)
+
+
+def test_equal_blocks_of_a_run_are_one_row(llm):
+    body = bytes(random.Random(13).choices(range(97, 122), k=50)) * 30
+    row = (1, 2, 1, 2, [0], len(body) - 399, True, 3, bytearray(body))
+    blocks = repeats._finer(llm.createDataFrame([row], repeats.SLICES), 400, 100).collect()
+    at = {lo + i for b in blocks for lo in b["lo"] for i in range(b["windows"])}
+    assert at == set(range(len(body) - 399)) and len(blocks) <= 6
+    assert all(body[lo : lo + b["windows"] + 399] == b["body"] for b in blocks for lo in b["lo"])
+    assert all(b["rows"] == 3 * len(b["lo"]) for b in blocks)
